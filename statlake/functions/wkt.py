@@ -1,24 +1,43 @@
-"""Coordinates of WKT text as arrays, without Python code per row."""
+"""Bounding boxes of WKT text, without Python code per row."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed patterns of the WKT format.
-NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
-SHAPE = (r"(?i)^\s*(?:srid=\d+;\s*)?(?:(?:multi)?(?:point|linestring|polygon)"
-         r"\s*(?:zm|z|m)?\s*\([-+0-9.e,()\s]+"
-         r"|geometrycollection\s*(?:zm|z|m)?\s*\([-+0-9.a-z,()\s]+)\)\s*$")
+# Fixed patterns of the WKT format: how a shape starts, and one whole coordinate.
+SHAPE_START = (r"(?i)^\s*(?:srid=\d+;\s*)?"
+               r"(?:(?:multi)?(?:point|linestring|polygon)|geometrycollection)\s*(?:zm|z|m)?\s*\(")
+COORDINATE = r"[(,]\s*([-+0-9.eE]+)\s+([-+0-9.eE]+)(?:\s+[-+0-9.eE]+(?:\s+[-+0-9.eE]+)?)?\s*(?=[,)])"
 
 
-def coordinates(wkt: Column) -> tuple[Column, Column]:
-    """All x and all y values; null unless every coordinate of the text was read."""
-    first_two = rf"[(,]\s*({NUMBER})\s+({NUMBER})(?=[\s,)])"
-    whole = wkt.rlike(SHAPE) & (F.regexp_count(wkt, F.lit(r"\(")) == F.regexp_count(wkt, F.lit(r"\)")))
-    expected = F.regexp_count(wkt, F.lit(",")) + 1
+def _count(text: Column, mark: str) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
 
-    def values(group: int) -> Column:
-        texts = F.regexp_extract_all(wkt, F.lit(first_two), F.lit(group))
-        return F.when(whole & (F.size(texts) == expected), texts.cast("array<double>"))
 
-    return values(1), values(2)
+def bounding_box(wkt: Column) -> Column:
+    """Struct ``xmin, ymin, xmax, ymax``; null for blank, empty or malformed text.
+
+    Every coordinate has to be read: there is one more than there are commas.
+    """
+    def numbers(text: Column, group: int) -> Column:
+        found = F.regexp_extract_all(text, F.lit(COORDINATE), F.lit(group))
+        return F.transform(found, lambda n: n.try_cast("double"))
+
+    def box(axes: Column) -> Column:
+        x, y = axes["x"], axes["y"]
+        complete = ((F.size(x) == axes["n"]) & ~F.exists(x, lambda n: n.isNull())
+                    & ~F.exists(y, lambda n: n.isNull()))
+        return F.when(complete, F.struct(
+            F.array_min(x).alias("xmin"), F.array_min(y).alias("ymin"),
+            F.array_max(x).alias("xmax"), F.array_max(y).alias("ymax")))
+
+    def axes(text: Column) -> Column:
+        well_formed = (text.rlike(SHAPE_START) & F.endswith(F.rtrim(text), F.lit(")"))
+                       & (_count(text, "(") == _count(text, ")")))
+        return F.when(well_formed, F.struct(
+            numbers(text, 1).alias("x"), numbers(text, 2).alias("y"),
+            (_count(text, ",") + 1).alias("n")))
+
+    # One-element arrays bind the text and then the axes, so each is computed once however
+    # often it is used; a filter would otherwise repeat the whole expression at each use.
+    return F.element_at(F.transform(F.transform(F.array(wkt), axes), box), 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.wkt import coordinates
+from ..functions.wkt import bounding_box
 from ..plans.sizing import quoted
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
@@ -12,16 +12,13 @@ BOX = ("xmin", "ymin", "xmax", "ymax")
 
 def envelope(df: DataFrame, wkt: str = "geometry_wkt") -> DataFrame:
     """Add ``xmin, ymin, xmax, ymax``; null for blank, empty or malformed geometry."""
-    x, y = coordinates(F.col(quoted(wkt)))
-    return (df.withColumn("__x", x).withColumn("__y", y)
-            .withColumn("xmin", F.array_min("__x")).withColumn("ymin", F.array_min("__y"))
-            .withColumn("xmax", F.array_max("__x")).withColumn("ymax", F.array_max("__y"))
-            .drop("__x", "__y"))
+    boxed = df.withColumn("__box", bounding_box(F.col(quoted(wkt))))
+    return boxed.withColumns({b: F.col(f"__box.{b}") for b in BOX}).drop("__box")
 
 
-def box_condition(xmin: float, ymin: float, xmax: float, ymax: float) -> Column:
-    return ((F.col("xmin") >= xmin) & (F.col("ymin") >= ymin)
-            & (F.col("xmax") <= xmax) & (F.col("ymax") <= ymax))
+def _inside(box: Column, xmin: float, ymin: float, xmax: float, ymax: float) -> Column:
+    return ((box["xmin"] >= xmin) & (box["ymin"] >= ymin)
+            & (box["xmax"] <= xmax) & (box["ymax"] <= ymax))
 
 
 def within_bbox(df: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float,
@@ -31,5 +28,8 @@ def within_bbox(df: DataFrame, xmin: float, ymin: float, xmax: float, ymax: floa
     If the table already has box columns they are used, and the range reaches the scan.
     """
     if all(b in df.columns for b in BOX):
-        return df.filter(box_condition(xmin, ymin, xmax, ymax))
-    return envelope(df, wkt).filter(box_condition(xmin, ymin, xmax, ymax)).drop(*BOX)
+        return df.filter((F.col("xmin") >= xmin) & (F.col("ymin") >= ymin)
+                         & (F.col("xmax") <= xmax) & (F.col("ymax") <= ymax))
+    # One reference to the box: a filter on four columns would find it four times.
+    box = F.array(bounding_box(F.col(quoted(wkt))))
+    return df.filter(F.exists(box, lambda b: _inside(b, xmin, ymin, xmax, ymax)))
