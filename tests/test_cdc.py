@@ -1,0 +1,200 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from statlake import (
+    ChangeColumns, diff_snapshots, feed_pages, high_water, latest_per_key, merge_changes, op_counts,
+    same_rows, since, union_pages,
+)
+from statlake.operators.cdc import diff_rows
+
+FEED = "_seq long, _op string, _committed_at string, _snapshot_id string, "
+
+
+def feed(spark, columns, changes, start=1):
+    return spark.createDataFrame(
+        [(start + i, op, "2025-05-05T00:00:00Z", "s9", *values) for i, (op, *values) in enumerate(changes)],
+        FEED + columns)
+
+
+def test_append_with_four_key_columns(spark, rows):
+    columns = "week string, fuel string, variable string, unit string, value double"
+    key = ["week", "fuel", "variable", "unit"]
+    old = [("W1", f, "price", "l", v) for f, v in (("petrol", 2.0), ("diesel", 1.5))]
+    new = [("W2", f, "price", "l", v) for f, v in (("petrol", 2.25), ("diesel", 1.75))]
+    merged = merge_changes(spark.createDataFrame(old, columns),
+                           feed(spark, columns, [("I", *r) for r in new]), key)
+    assert same_rows(merged, spark.createDataFrame(old + new, columns))
+    assert merged.columns == ["week", "fuel", "variable", "unit", "value"]
+
+
+def test_update_delete_insert(spark, rows):
+    state = spark.createDataFrame([(i, c) for i, c in enumerate("abcde", 1)], "id long, val string")
+    changes = feed(spark, "id long, val string",
+                   [("D", 3, "c"), ("D", 4, "d"), ("I", 4, "D2"), ("U", 5, "E2"), ("I", 6, "f")])
+    want = [(1, "a"), (2, "b"), (4, "D2"), (5, "E2"), (6, "f")]
+    for keep in ("all", "latest"):
+        assert rows(merge_changes(state, changes, ["id"], keep=keep)) == want
+
+
+def test_out_of_order_feed(spark, rows):
+    changes = feed(spark, "id long, val string", [("D", 1, "old"), ("I", 1, "new")], 19).orderBy(F.desc("_seq"))
+    state = spark.createDataFrame([(1, "old")], "id long, val string")
+    for keep in ("all", "latest"):
+        assert rows(merge_changes(state, changes, ["id"], keep=keep)) == [(1, "new")]
+
+
+@pytest.mark.parametrize("keep", ["all", "latest"])
+def test_history_rows_of_a_versioned_table(spark, rows, keep):
+    columns = "id long, name string, is_current boolean"
+    state = spark.createDataFrame([(1, "a", True), (2, "b", True), (3, "c", True)], columns)
+    changes = feed(spark, columns, [
+        ("D", 1, "a", True), ("I", 1, "a2", True), ("I", 1, "a", False), ("D", 3, "c", True), ("I", 4, "d", True)])
+    merged = merge_changes(state, changes, ["id"], state_filter="is_current = true", keep=keep)
+    assert rows(merged) == [(1, True, "a2"), (2, True, "b"), (4, True, "d")]
+
+
+def test_state_filter_without_its_column_is_ignored(spark):
+    state = spark.createDataFrame([(1, "a"), (2, "b")], "id long, val string")
+    merged = merge_changes(state, feed(spark, "id long, val string", [("I", 3, "c")]), ["id"],
+                           state_filter="is_current = true")
+    assert merged.count() == 3
+
+
+def test_several_changes_of_one_key_in_a_batch(spark, rows):
+    state = spark.createDataFrame([(1, "a")], "id long, val string")
+    changes = feed(spark, "id long, val string",
+                   [("I", 2, "x"), ("D", 2, "x"), ("U", 1, "b"), ("U", 1, "c")])
+    assert rows(merge_changes(state, changes, ["id"])) == [(1, "b"), (1, "c"), (2, "x")]
+    assert rows(merge_changes(state, changes, ["id"], keep="latest")) == [(1, "c")]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_null_and_nan_keys_match(spark, rows, broadcast):
+    nan = float("nan")
+    state = spark.createDataFrame(
+        [(None, 1.0, "a"), ("x", None, "b"), ("x", nan, "c"), ("y", 0.0, "d")], "k string, n double, val string")
+    changes = feed(spark, "k string, n double, val string",
+                   [("D", None, 1.0, ""), ("D", "x", None, ""), ("U", "x", nan, "c2"), ("D", "y", -0.0, "")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_changes(state, changes, ["k", "n"], broadcast_keys=broadcast)
+        assert [r["val"] for r in merged.collect()] == ["c2"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_key_missing_in_the_table_keeps_its_rows(spark):
+    state = spark.createDataFrame([(1,)], "other long")
+    assert merge_changes(state, feed(spark, "id long", [("I", 1)]), ["id"]).count() == 2
+
+
+def test_empty_table_and_empty_feed(spark, rows):
+    empty = spark.createDataFrame([], "id long, val string")
+    changes = feed(spark, "id long, val string", [("I", 1, "a")])
+    assert rows(merge_changes(empty, changes, ["id"])) == [(1, "a")]
+    state = spark.createDataFrame([(1, "a")], "id long, val string")
+    assert rows(merge_changes(state, changes.limit(0), ["id"])) == [(1, "a")]
+
+
+def test_bookkeeping_columns_are_stripped_from_both_sides(spark):
+    state = spark.createDataFrame([(1, "a", 5)], "id long, val string, _seq long")
+    assert merge_changes(state, feed(spark, "id long, val string", [("I", 2, "b")]), ["id"]).columns == ["id", "val"]
+
+
+def test_own_names_for_bookkeeping_columns(spark, rows):
+    names = ChangeColumns("n", "what", "at", "snap")
+    changes = spark.createDataFrame([(1, "D", 7)], "n long, what string, id long")
+    state = spark.createDataFrame([(7,), (8,)], "id long")
+    assert rows(merge_changes(state, changes, ["id"], names=names)) == [(8,)]
+
+
+def test_refusals(spark):
+    state = spark.createDataFrame([(1,)], "id long")
+    changes = feed(spark, "id long", [("I", 2)])
+    with pytest.raises(ValueError, match="key column"):
+        merge_changes(state, changes, [])
+    with pytest.raises(ValueError, match="_op"):
+        merge_changes(state, changes.drop("_op"), ["id"])
+    with pytest.raises(ValueError, match="lacks"):
+        merge_changes(state, changes, ["id2"])
+    with pytest.raises(TypeError, match="string"):
+        merge_changes(state, changes.withColumn("id", F.col("id").cast("string")), ["id"])
+    with pytest.raises(ValueError, match="keep"):
+        merge_changes(state, changes, ["id"], keep="some")
+
+
+def test_column_names_with_dots(spark, rows):
+    state = spark.createDataFrame([(1, "a"), (2, "b")], "`a.id` long, `v.1` string")
+    changes = feed(spark, "`a.id` long, `v.1` string", [("U", 1, "z")])
+    for keep in ("all", "latest"):
+        assert rows(merge_changes(state, changes, ["a.id"], keep=keep)) == [(1, "z"), (2, "b")]
+
+
+def _random_edit(rng, table):
+    """An edited copy of a table {key: (value, note)}."""
+    edited = dict(table)
+    for k in list(edited):
+        roll = rng.random()
+        if roll < 0.2:
+            del edited[k]
+        elif roll < 0.5:
+            edited[k] = (rng.choice([None, rng.randint(0, 3)]), rng.choice("xyz"))
+    for _ in range(rng.randint(0, 6)):
+        edited[(rng.choice([None, *range(12)]), rng.choice(["a", None]))] = (rng.randint(0, 3), "n")
+    return edited
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_baseline_plus_diffs_is_the_new_snapshot(spark, seed):
+    rng = random.Random(seed)
+    schema = "k long, kind string, value long, note string"
+    frame = lambda t: spark.createDataFrame([(*k, *v) for k, v in t.items()], schema)
+    first = _random_edit(rng, {(i, "a"): (i, "o") for i in range(10)})
+    second = _random_edit(rng, first)
+    third = _random_edit(rng, second)
+    key = ["k", "kind"]
+    one = diff_snapshots(frame(first), frame(second), key)
+    two = diff_snapshots(frame(second), frame(third), key, after_seq=high_water(one).first()[0])
+
+    step = merge_changes(frame(first), one, key)
+    assert same_rows(step, frame(second))
+    assert same_rows(merge_changes(step, one, key), step)
+    both = union_pages([two, one])
+    assert same_rows(merge_changes(frame(first), both, key, keep="latest"), frame(third))
+    replayed = merge_changes(merge_changes(frame(first), both, key, keep="latest"), both, key, keep="latest")
+    assert same_rows(replayed, frame(third))
+    seqs = sorted(r["_seq"] for r in both.collect())
+    assert seqs == list(range(1, len(seqs) + 1))
+
+
+def test_diff_counts_copies(spark):
+    frame = lambda n: spark.createDataFrame([("x",)] * n + [("y",)], "v string")
+    assert [tuple(r) for r in diff_rows(frame(3), frame(1)).collect()] == [("x", "D")] * 2
+    many = diff_rows(frame(0), frame(1).unionByName(spark.range(70_000).select(F.lit("x").alias("v"))))
+    assert many.filter("_op = 'I' and v = 'x'").count() == 70_001
+
+
+def test_latest_per_key_keeps_deletes_and_column_order(spark, rows):
+    changes = feed(spark, "id long, val string", [("I", 1, "a"), ("U", 1, "b"), ("D", 2, "c"), ("I", None, "d")])
+    last = latest_per_key(changes, ["id"])
+    assert last.columns == changes.columns
+    assert sorted((r["_seq"], r["_op"]) for r in last.collect()) == [(2, "U"), (3, "D"), (4, "I")]
+
+
+def test_feed_reports(spark, rows):
+    changes = feed(spark, "id long", [("I", i) for i in range(7)] + [("D", 1)], 10)
+    assert since(changes, 12).count() == 5 and since(changes, 12, 14).count() == 2
+    assert high_water(changes).first()["seq_high"] == 17
+    assert high_water(changes.limit(0)).first()["seq_high"] == 0
+    assert rows(op_counts(changes)) == [("D", 1), ("I", 7)]
+    pages = feed_pages(changes, 3).orderBy("page").collect()
+    assert [tuple(p) for p in pages] == [(0, 3, 10, 12, True), (1, 3, 13, 15, True), (2, 2, 16, 17, False)]
+    assert feed_pages(changes.limit(0), 3).count() == 0
+
+
+def test_pages_with_different_columns(spark, rows):
+    a = spark.createDataFrame([(1, "x")], "id long, val string")
+    b = spark.createDataFrame([(True, 2)], "flag boolean, id long")
+    assert rows(union_pages([a, b])) == [(None, 1, "x"), (True, 2, None)]
