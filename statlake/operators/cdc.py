@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.fixed_values import FEED_PAGE_ROWS
 from ..model import ChangeColumns
-from ..plans.sizing import quoted
+from ..plans.lineage import cut_lineage
+from ..plans.sizing import broadcast_if_small, quoted
 from .filters import current_state, state_condition
 from .quality import signed_difference
 from .ranking import with_row_index
@@ -172,11 +173,36 @@ def feed_pages(changes: DataFrame, page_rows: int = FEED_PAGE_ROWS,
                     (F.col("__last") < F.col("__end")).alias("truncated")))
 
 
-def diff_rows(old: DataFrame, new: DataFrame, op: str = NAMES.op) -> DataFrame:
+def changed_candidates(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables without the rows whose digests cancel out.
+
+    Only two 64-bit hashes per row are shuffled to find digests held by a different number
+    of rows on either side; rows with those digests are then picked by a semi join.
+    """
+    columns = [F.col(quoted(c)) for c in old.columns]
+    digests = [F.xxhash64(*columns).alias("__h1"), F.xxhash64(F.lit(1), *columns).alias("__h2")]
+    changed = signed_difference(old.select(*digests), new.select(*digests), "__net").drop("__net")
+    changed = broadcast_if_small(cut_lineage(changed, "digests"))
+
+    def pick(df: DataFrame) -> DataFrame:
+        hashed = df.select(*columns, *digests)
+        return hashed.join(changed, ["__h1", "__h2"], "left_semi").drop("__h1", "__h2")
+
+    return pick(old), pick(new)
+
+
+def diff_rows(old: DataFrame, new: DataFrame, op: str = NAMES.op, *,
+              by_digest: bool = False) -> DataFrame:
     """Rows to delete from ``old`` (``D``) and to insert (``I``) to arrive at ``new``.
 
     A changed row gives both.  Copies count: three copies against one gives two rows.
+
+    Whole rows are shuffled and compared.  For wide tables of which little has changed,
+    ``by_digest`` reads both twice but shuffles 128-bit digests and only the rows they
+    single out; a change would be missed only if two rows had equal digests.
     """
+    if by_digest:
+        old, new = changed_candidates(old, new)
     net = signed_difference(old, new, "__net")
     copies = F.abs("__net")
     chunk = 65_536  # keeps the arrays that repeat a row small, however many copies there are
@@ -200,13 +226,14 @@ def diff_snapshots(
     committed_at: str | None = None,
     snapshot_id: str | None = None,
     names: ChangeColumns = NAMES,
+    by_digest: bool = False,
 ) -> DataFrame:
     """The change feed that leads from ``old`` to ``new``.
 
     Sequence numbers are dense and start after ``after_seq``; all deletes precede all
     inserts, so an update is a ``D`` followed by an ``I`` of the same key.
     """
-    rows = diff_rows(old, new, names.op)
+    rows = diff_rows(old, new, names.op, by_digest=by_digest)
     order: list[Column] = [F.col(names.op), *[F.col(quoted(k)) for k in key]]
     ranked = with_row_index(rows, order, "__rank")
     return ranked.select(

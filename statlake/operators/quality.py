@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans.sizing import quoted
+from ..plans.sizing import broadcast_if_small, quoted
 
 
 def signed_difference(old: DataFrame, new: DataFrame, column: str = "net") -> DataFrame:
@@ -45,7 +45,11 @@ def source_mismatch(
     source: str = "source",
     expected_source: str = "expected_source",
 ) -> DataFrame:
-    """Rows whose recorded source is not the expected one; a blank record is fine."""
+    """Rows whose recorded source is not the expected one; a blank record is fine.
+
+    ``expected`` is broadcast if it measures small, so rows that share one key stay where
+    they are; otherwise AQE splits the hot key.
+    """
     recorded = F.trim(F.coalesce(F.col(source), F.lit("")))
-    return (df.join(expected, list(on), "inner")
+    return (df.join(broadcast_if_small(expected), list(on), "inner")
             .filter((recorded != "") & (recorded != F.col(expected_source))))

@@ -9,10 +9,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.fixed_values import PUBLISHERS
-from ..model import ChangeColumns, StatlakeError, SyncResult, TableMeta
+from ..model import ChangeColumns, Layout, StatlakeError, SyncResult, TableMeta
 from ..operators import catalog as cat
 from ..operators.filters import date_range, dimension_contains, from_source, resolve_date_column
 from ..operators.limits import most_recent, preview as preview_rows, sort_by_date
+from ..operators.reshape import to_long, to_wide
 from ..operators.search import search_catalog
 from ..sources.readers import parse_date, read_changes, read_table
 from ..sources.writers import write_table
@@ -53,6 +54,14 @@ class Lake:
         return cat.labelled(read_table(self.spark, row["path"], fmt, geometry=geometry),
                             TableMeta.of(row))
 
+    def to_long(self, name: str, **options) -> tuple[DataFrame, Layout]:
+        """The dataset reshaped to long form by the layout its metadata declares."""
+        return to_long(self.table(name), self.info(name).layout, **options)
+
+    def to_wide(self, name: str, **options) -> tuple[DataFrame, Layout]:
+        """The dataset reshaped to wide form by the layout its metadata declares."""
+        return to_wide(self.table(name), self.info(name).layout, **options)
+
     def get(
         self,
         name: str,

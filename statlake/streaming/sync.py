@@ -132,19 +132,19 @@ def apply_changes(
     current = table.spark.createDataFrame([], schema)
     check_feed(current, changes, key, names)
     changes = _aligned(changes, schema)
-    if batch is not None:
-        early = changes.filter(F.col(names.seq) <= last.watermark_seq)
-        if not early.isEmpty():
-            raise SyncError(f"feed rows at or before sequence {last.watermark_seq} arrived late")
-    changes = changes.filter(F.col(names.seq) > last.watermark_seq)
+    if batch is None:
+        changes = changes.filter(F.col(names.seq) > last.watermark_seq)
     number = bucket_number(changes.schema, last.bucket_by, last.bucket_count)
     any_null = F.greatest(*[F.col(quoted(k)).isNull().cast("int") for k in key], F.lit(0))
     facts = changes.agg(
         F.count(F.lit(1)).alias("n"), F.max(names.seq).alias("high"),
+        F.count_if(F.col(names.seq) <= last.watermark_seq).alias("late"),
         F.max(any_null).alias("nulls"),
         F.sum(row_bytes(changes.schema, list(key))).alias("key_bytes"),
         F.collect_set(number).alias("buckets"),  # at most bucket_count numbers
     ).first()
+    if facts["late"]:
+        raise SyncError(f"feed rows at or before sequence {last.watermark_seq} arrived late")
     if facts["n"] == 0:
         return SyncResult("unchanged", table.root, "changelog", last.snapshot_id, last.snapshot_id,
                           0, last.watermark_seq, last.watermark_seq, 0)

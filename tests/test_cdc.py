@@ -156,6 +156,7 @@ def test_baseline_plus_diffs_is_the_new_snapshot(spark, seed):
     third = _random_edit(rng, second)
     key = ["k", "kind"]
     one = diff_snapshots(frame(first), frame(second), key)
+    assert same_rows(one, diff_snapshots(frame(first), frame(second), key, by_digest=True))
     two = diff_snapshots(frame(second), frame(third), key, after_seq=high_water(one).first()[0])
 
     step = merge_changes(frame(first), one, key)

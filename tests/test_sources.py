@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from statlake import (
-    Lake, StatlakeError, read_catalog, read_changes, read_envelope, read_records, read_table, same_rows,
+    Lake, LayoutError, StatlakeError, read_catalog, read_changes, read_envelope, read_records, read_table, same_rows,
     to_records, write_table,
 )
 from statlake.operators import catalog as cat
@@ -160,6 +160,16 @@ def test_lake_exports(lake, spark, tmp_path):
         lake.download_bulk("shapes", str(tmp_path / "o3"))
 
 
+def test_lake_reshapes_by_declared_layout(lake, spark):
+    declared = lake.catalog.withColumn("layout", F.when(F.col("name") == "series", "long")) \
+        .withColumn("id_columns", F.array(F.lit("date"))).withColumn("value_columns", F.array(F.lit("value"))) \
+        .withColumn("measure_name_column", F.lit("area"))
+    wide, layout = Lake(spark, declared).to_wide("series", names=["North", "South", "north"][:2] + ["x"])
+    assert layout.value_columns == ("North", "South", "x")
+    with pytest.raises(LayoutError):
+        lake.to_long("texts")
+
+
 def test_audit_of_a_lake(lake, rows):
     got = {r["name"]: (r["format"], r["route"], r["date_column"], r["reshape"]) for r in cat.audit(lake.catalog).collect()}
     assert got["series"] == ("parquet", "live", "date", "refused")
