@@ -116,11 +116,15 @@ def licence_rollup(catalog: DataFrame) -> DataFrame:
 
 def override_provenance(catalog: DataFrame, provenance: DataFrame, on: str = "name",
                         keys: Sequence[str] = PROVENANCE_KEYS) -> DataFrame:
-    """Catalogue and provenance records side by side; a non-blank provenance value wins."""
+    """Catalogue and provenance records side by side; a non-blank provenance value wins.
+
+    A full outer join in two halves, records with their catalogue row and catalogue rows
+    without a record: AQE can split a name with many records in either half, but not in a
+    full join.
+    """
     keys = [k for k in keys if k in catalog.columns or k in provenance.columns]
     other = [c for c in catalog.columns if c != on and c not in keys]
-    c, p = catalog.alias("c"), provenance.alias("p")
-    joined = c.join(p, F.col(f"c.{on}") == F.col(f"p.{on}"), "full")
+    p, c = provenance.alias("p"), broadcast_if_small(catalog).alias("c")
 
     def merged(k: str) -> Column:
         sides = []
@@ -130,8 +134,11 @@ def override_provenance(catalog: DataFrame, provenance: DataFrame, on: str = "na
             sides.append(F.col(f"c.{k}"))
         return F.coalesce(*sides).alias(k)
 
-    return joined.select(F.coalesce(F.col(f"c.{on}"), F.col(f"p.{on}")).alias(on),
-                         *[F.col(f"c.{o}") for o in other], *[merged(k) for k in keys])
+    recorded = p.join(c, F.col(f"p.{on}") == F.col(f"c.{on}"), "left").select(
+        F.col(f"p.{on}").alias(on), *[F.col(f"c.{o}") for o in other], *[merged(k) for k in keys])
+    unrecorded = catalog.join(provenance.select(on).distinct(), on, "left_anti")
+    return recorded.unionByName(unrecorded.select(on, *other, *[k for k in keys if k in catalog.columns]),
+                                allowMissingColumns=True)
 
 
 def attach_metadata(df: DataFrame, catalog: DataFrame, on: str, fields: Sequence[str]) -> DataFrame:

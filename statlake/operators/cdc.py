@@ -27,17 +27,17 @@ def strip_bookkeeping(df: DataFrame, names: ChangeColumns = NAMES) -> DataFrame:
     return df.drop(*names.all)
 
 
-def check_feed(state: DataFrame, changes: DataFrame, key: Sequence[str],
+def check_feed(state: T.StructType, changes: T.StructType, key: Sequence[str],
                names: ChangeColumns = NAMES) -> None:
     """Refuse a merge without a key, a feed without its columns, or keys of different types."""
     if not key:
         raise ValueError("a merge needs at least one key column")
-    absent = [c for c in (names.seq, names.op, *key) if c not in changes.columns]
+    absent = [c for c in (names.seq, names.op, *key) if c not in changes.names]
     if absent:
         raise ValueError(f"the change feed lacks {absent}")
     for k in key:
-        if k in state.columns:
-            ours, theirs = state.schema[k].dataType, changes.schema[k].dataType
+        if k in state.names:
+            ours, theirs = state[k].dataType, changes[k].dataType
             both_numeric = isinstance(ours, T.NumericType) and isinstance(theirs, T.NumericType)
             if ours != theirs and not both_numeric:
                 raise TypeError(f"key {k!r} is {ours.simpleString()} in the table "
@@ -129,7 +129,7 @@ def merge_changes(
     operation of each key, which makes applying several batches at once, or one batch
     twice, give the same table.
     """
-    check_feed(state, changes, key, names)
+    check_feed(state.schema, changes.schema, key, names)
     added = added_rows(changes, key, state_filter=state_filter, keep=keep, names=names)
     kept = strip_bookkeeping(state, names)
     if all(k in state.columns for k in key):

@@ -49,12 +49,17 @@ def most_recent(
     date: str = "date",
     tie_break: Sequence[str] = (),
     undated: str = "latest",
+    two_pass: bool = False,
 ) -> DataFrame:
     """The ``n`` latest rows by ``date``, returned in ascending order.
 
     ``n`` missing or not positive keeps all rows.  Undated rows count as the latest
     unless ``undated="exclude"``.  At the cut, ties go to the larger ``tie_break``, then to
     the later input row.  Without the date column the first ``n`` rows are returned.
+
+    ``two_pass`` first finds the n-th latest date from the date column alone and reads the
+    other columns only where the date reaches it: for wide tables that are roughly in date
+    order, whose older files the scan then skips.
     """
     if undated not in ("latest", "exclude"):
         raise ValueError("undated must be 'latest' or 'exclude'")
@@ -65,6 +70,11 @@ def most_recent(
     if undated == "exclude":
         df = df.filter(F.col(quoted(date)).isNotNull())
     ties = _columns(tie_break)
+    if two_pass and n <= TOP_K_ROWS:
+        day = F.col(quoted(date))
+        nth = (df.select(day).filter(day.isNotNull()).orderBy(day.desc()).limit(n)
+               .agg(F.min(quoted(date))).scalar())
+        df = df.filter(day.isNull() | (day >= nth))
     latest = _top(df, n, [F.col(quoted(date)).desc_nulls_first(), *(c.desc() for c in ties)],
                   later_first=True)
     return latest.orderBy(F.col(quoted(date)).asc_nulls_last(), *(c.asc() for c in ties))

@@ -75,6 +75,19 @@ def orders_recent_undated(spark, sf):
     return limits.most_recent(orders, 500, date="o_orderdate", tie_break=["o_orderkey"])
 
 
+_LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+
+
+@query(f"""
+SELECT *, CAST(l_shipdate AS DATE) AS day FROM lineitem
+ORDER BY day DESC, {", ".join(c + " DESC" for c in _LINE_ORDER)} LIMIT 1000
+""")
+def lineitem_recent_two_pass(spark, sf):
+    """All columns of the latest rows; the cut-off date is found from the date alone."""
+    lines = table(spark, sf, "lineitem").withColumn("day", F.to_date("l_shipdate"))
+    return limits.most_recent(lines, 1000, date="day", tie_break=_LINE_ORDER, two_pass=True)
+
+
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey")
 def orders_by_date(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")

@@ -129,8 +129,7 @@ def apply_changes(
     key = tuple(key or last.key)
     state_filter = state_filter or last.state_filter
     schema = last.struct
-    current = table.spark.createDataFrame([], schema)
-    check_feed(current, changes, key, names)
+    check_feed(schema, changes.schema, key, names)
     changes = _aligned(changes, schema)
     if batch is None:
         changes = changes.filter(F.col(names.seq) > last.watermark_seq)

@@ -46,6 +46,16 @@ def test_ties_go_to_tie_break_then_later_row(spark):
     assert values(most_recent(df, 1)) == [6]
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 10])
+@pytest.mark.parametrize("undated", ["latest", "exclude"])
+def test_two_passes_give_the_same(spark, n, undated):
+    df = spark.createDataFrame([("b", 1), ("c", 2), ("c", 3), (None, 4), ("a", 5)], "date string, value int")
+    take = lambda d: values(most_recent(d, n, tie_break=["value"], undated=undated, two_pass=True))
+    assert take(df) == values(most_recent(df, n, tie_break=["value"], undated=undated))
+    undated_only = df.filter("date is null")
+    assert take(undated_only) == ([4] if undated == "latest" else [])
+
+
 def test_first_n_without_date(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "value int")
     assert values(most_recent(df, 2)) == [3, 1]

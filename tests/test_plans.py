@@ -79,6 +79,15 @@ def test_most_recent_is_a_top_k(spark, stored):
     assert "TakeOrderedAndProject" in text
 
 
+def test_two_pass_skips_old_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"), "id") \
+        .repartitionByRange(10, "id").write.parquet(path)
+    df = most_recent(spark.read.parquet(path), 20, two_pass=True)
+    assert "GreaterThanOrEqual(date,ScalarSubquery" in plan(df)
+    assert [r["id"] for r in df.collect()] == list(range(980, 1000))
+
+
 def test_wide_is_one_shuffle_with_partial_aggregation(spark, stored):
     df = read_table(spark, stored).select("id", "area", "v1")
     wide, _ = to_wide(df, Layout("long", ("id",), ("v1",), measure_name_column="area"), names=["0", "1"])
