@@ -16,6 +16,7 @@ from .operators.quality import duplicate_keys, same_rows, signed_difference, sou
 from .operators.reshape import to_long, to_wide
 from .operators.search import search_catalog, search_rows
 from .plans.lake import Lake
+from .plans.lineage import drop_scratch
 from .plans.settings import configure
 from .sources.readers import (
     read_catalog, read_changes, read_envelope, read_records, read_table, union_pages,

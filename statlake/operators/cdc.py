@@ -63,8 +63,8 @@ def without_keys(
     keys = touched.select(*[F.col(quoted(k)).alias(a) for k, a in zip(key, aliases)]).distinct()
     if broadcast:
         keys = F.broadcast(keys)
-    left, right = state.alias("s"), keys.alias("k")
-    pairs = [(F.col(f"s.{quoted(k)}"), F.col(f"k.{a}")) for k, a in zip(key, aliases)]
+    left, right = state.alias("__state"), keys.alias("__touched")
+    pairs = [(F.col(f"__state.{quoted(k)}"), F.col(f"__touched.{a}")) for k, a in zip(key, aliases)]
     condition = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
     return left.join(right, reduce(lambda a, b: a & b, condition), "left_anti")
 
@@ -167,10 +167,9 @@ def feed_pages(changes: DataFrame, page_rows: int = FEED_PAGE_ROWS,
         .agg(F.count(F.lit(1)).alias("row_count"), F.min("seq").alias("seq_low"),
              F.max("seq").alias("seq_high"), F.max("row_index").alias("__last"))
     )
-    end = ranked.agg(F.max("row_index").alias("__end"))  # one row
-    return (pages.crossJoin(F.broadcast(end))
-            .select("page", "row_count", "seq_low", "seq_high",
-                    (F.col("__last") < F.col("__end")).alias("truncated")))
+    end = ranked.agg(F.max("row_index")).scalar()
+    return pages.select("page", "row_count", "seq_low", "seq_high",
+                        (F.col("__last") < end).alias("truncated"))
 
 
 def changed_candidates(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:

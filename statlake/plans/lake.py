@@ -25,8 +25,9 @@ class Lake:
     """Datasets described by a catalogue DataFrame.
 
     Beside its metadata a catalogue row has ``path`` (where the table is), and optionally
-    ``format``, ``feed_path`` (its change feed) and ``current_state_filter``.  All reads are
-    lazy; nothing runs until an action.
+    ``format``, ``feed_path`` (its change feed) and ``current_state_filter``.  If the catalogue
+    has a ``date_filter_column``, a null there says the dataset has no date axis; if it has
+    none, the glossary is looked at.  All reads are lazy; nothing runs until an action.
     """
 
     def __init__(self, spark: SparkSession, catalog: DataFrame, names: ChangeColumns = ChangeColumns()):

@@ -16,18 +16,27 @@ from pyspark.sql import DataFrame, SparkSession
 _local_roots: dict[str, str] = {}
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the session's shared folder."""
+def _scratch_root(spark: SparkSession) -> str:
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        app = context.applicationId
-        if app not in _local_roots:
-            _local_roots[app] = tempfile.mkdtemp(prefix="statlake-")
-        root = _local_roots[app]
-    return f"{root.rstrip('/')}/statlake/{label}-{uuid.uuid4().hex}"
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="statlake-")
+        root = _local_roots[context.applicationId]
+    return f"{root.rstrip('/')}/statlake/{context.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new, unused path under this application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote there; DataFrames that read it stop working."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:

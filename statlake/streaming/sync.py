@@ -61,14 +61,24 @@ def sync_snapshot(
 
 
 def _aligned(changes: DataFrame, schema: T.StructType) -> DataFrame:
-    """Feed columns in the table's numeric types, so equal keys hash alike."""
+    """Feed columns in the table's types, so equal keys hash alike and old files stay readable.
+
+    Whole numbers are cast (one that does not fit is an error at run time) and floats
+    widened; any other change of type needs a new baseline.
+    """
     kinds = {f.name: f.dataType for f in schema.fields}
-    return changes.select(*[
-        F.col(quoted(f.name)).cast(kinds[f.name]).alias(f.name)
-        if f.name in kinds and f.dataType != kinds[f.name]
-        and isinstance(f.dataType, T.NumericType) and isinstance(kinds[f.name], T.NumericType)
-        else F.col(quoted(f.name))
-        for f in changes.schema.fields])
+    columns = []
+    for f in changes.schema.fields:
+        column, kind = F.col(quoted(f.name)), kinds.get(f.name, f.dataType)
+        if f.dataType.simpleString() != kind.simpleString():
+            whole = isinstance(f.dataType, T.IntegralType) and isinstance(kind, T.IntegralType)
+            wider = isinstance(f.dataType, T.FloatType) and isinstance(kind, T.DoubleType)
+            if not whole and not wider:
+                raise SyncError(f"column {f.name!r} is {kind.simpleString()} in the table but "
+                                f"{f.dataType.simpleString()} in the feed; force a new baseline")
+            column = column.cast(kind).alias(f.name)
+        columns.append(column)
+    return changes.select(*columns)
 
 
 def _write_buckets(rows: DataFrame, path: str) -> None:

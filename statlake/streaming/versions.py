@@ -1,6 +1,6 @@
 """A table kept as Parquet version directories and a log of commits.
 
-``<root>/data/version=N`` holds rows; ``<root>/log`` holds one JSON row per commit,
+``<root>/data/version=N`` holds rows; ``<root>/log`` holds one JSON line per commit,
 appended with Spark's own file commit.  A version counts only once its log row is there,
 so a failed or repeated write leaves the table as it was, and data version and feed
 cursor move together.  One writer per table is assumed.
@@ -154,13 +154,12 @@ class VersionedTable:
                 sum(r["n"] for r in rows), sum(r["size"] for r in rows))
 
     def append(self, commit: Commit) -> Commit:
-        """Make a written version the current one."""
+        """Make a written version the current one: one small file, visible as a whole or not at all."""
         stamp = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
         values = {**asdict(commit), "committed_at": stamp, "key": list(commit.key),
                   "bucket_by": list(commit.bucket_by)}
-        order = [column.split()[0] for column in LOG_SCHEMA.split(", ")]
-        row = self.spark.createDataFrame([tuple(values[c] for c in order)], LOG_SCHEMA)
-        row.coalesce(1).write.mode("append").json(self.log_path)
+        line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(values)).alias("value"))
+        line.write.mode("append").text(self.log_path)
         return Commit(**values)
 
     def vacuum(self, keep: int = 2) -> list[int]:

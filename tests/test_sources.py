@@ -114,7 +114,21 @@ def test_broadcast_only_when_measured_small(spark):
 def test_scratch_is_under_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    assert cut_lineage(spark.range(5)).count() == 5
+    kept = cut_lineage(spark.range(5))
+    assert kept.count() == 5
+    app = spark.sparkContext.applicationId
+    assert all(f"/statlake/{app}/cut-" in f for f in kept.inputFiles())
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
+        sparkContext = type("Context", (), {"master": "yarn", "applicationId": "a1"})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session, "x")
+    Session.sparkContext.master = "local[2]"
+    first, second = scratch_path(Session, "x"), scratch_path(Session, "x")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
 
 
 @pytest.fixture()

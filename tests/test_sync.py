@@ -173,6 +173,23 @@ def test_new_columns_in_the_feed(spark, root):
     assert got[7] == "n" and got[6] is None and len(got) == 20
 
 
+@pytest.mark.parametrize("column,kind", [("val", "long"), ("id", "double"), ("id", "string")])
+def test_feed_that_changes_a_type_is_refused(spark, root, column, kind):
+    base = state(spark, (1, "a"))
+    feed = changes(spark, (1, "U", 1, "5")).withColumn(column, F.col(column).cast(kind))
+    sync_changelog(spark, root, changes(spark).limit(0), base, key=["id"], bucket_count=2)
+    with pytest.raises((SyncError, TypeError), match="in the feed"):
+        sync_changelog(spark, root, feed, base)
+    assert current(spark, root) == [(1, "a")]
+
+
+def test_key_that_does_not_fit_is_an_error(spark, root):
+    base = state(spark, (1, "a")).withColumn("id", F.col("id").cast("int"))
+    sync_changelog(spark, root, changes(spark).limit(0), base, key=["id"], bucket_count=2)
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        sync_changelog(spark, root, changes(spark, (1, "U", 2**40, "b")), base)
+
+
 def test_expired_cursor_takes_the_baseline_again(spark, root):
     base = state(spark, (1, "a"))
     sync_changelog(spark, root, changes(spark, (5, "I", 1, "a")), base, key=["id"], bucket_count=2)
