@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fixed_values import EXPORT_ROW_CEILING, PREVIEW_ROWS
+from ..plans.lineage import cut_lineage
 from ..plans.sizing import quoted
 from .filters import without_geometry
 from .ranking import with_row_index
@@ -20,17 +21,23 @@ def _columns(names: Sequence[str]) -> list:
     return [F.col(quoted(n)) for n in names]
 
 
-def sort_by_date(df: DataFrame, date: str = "date", tie_break: Sequence[str] = ()) -> DataFrame:
+def sort_by_date(df: DataFrame, date: str = "date", tie_break: Sequence[str] = (), *,
+                 stable: bool = False) -> DataFrame:
     """Ascending by date, undated rows last; a table without the column is unchanged.
 
-    Ties follow ``tie_break`` and then input position, which keeps the sort stable and
-    lets the range partitioner split a date that holds a large share of the rows.
+    Ties follow ``tie_break`` and then a hash of the row: it is the same when a task is
+    repeated, and lets the range partitioner split a date with a large share of the rows.
+    ``stable`` keeps ties in input order instead; positions are written down first, since
+    rows that come out of a shuffle may be in another order the next time.
     """
     if date not in df.columns:
         return df
     order = [F.col(quoted(date)).asc_nulls_last(), *(c.asc() for c in _columns(tie_break))]
-    return (df.withColumn("__at", F.monotonically_increasing_id())
-            .orderBy(*order, F.col("__at")).drop("__at"))
+    if stable:
+        placed = cut_lineage(df.withColumn("__at", F.monotonically_increasing_id()), "placed")
+        return placed.orderBy(*order, F.col("__at")).drop("__at")
+    hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.orderBy(*order, F.xxhash64(*_columns(hashed)))
 
 
 def first_n(df: DataFrame, n: int | None, order: Sequence[str] = ()) -> DataFrame:
@@ -85,7 +92,8 @@ def _top(df: DataFrame, n: int, order: list, later_first: bool = False) -> DataF
     placed = df.withColumn("__at", F.monotonically_increasing_id())
     if n <= TOP_K_ROWS:
         return placed.orderBy(*order, position).limit(n).drop("__at")
-    ranked = with_row_index(placed, [*order, position], "__rank")
+    # Positions decide which partition a row goes to, so they are written down first.
+    ranked = with_row_index(cut_lineage(placed, "placed"), [*order, position], "__rank")
     return ranked.filter(F.col("__rank") < n).drop("__rank", "__at")
 
 

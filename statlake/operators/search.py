@@ -71,13 +71,12 @@ def ranked(
 
 def search_catalog(df: DataFrame, query: str | None, *, source: str | None = None,
                    **options) -> DataFrame:
-    """Search hits, headline datasets of an alias first, otherwise in input order."""
+    """Search hits; headline datasets of an alias come first, the rest of them by name."""
     ranks = options.pop("ranks", SEARCH_RANKS)
-    hits = search_rows(df.withColumn("__at", F.monotonically_increasing_id()), query,
-                       source=source, **options)
+    hits = search_rows(df, query, source=source, **options)
     if ranks.get((query or "").strip().lower()) and "name" in df.columns:
-        hits = ranked(hits, query, ranks=ranks, column="__rank").orderBy("__rank", "__at")
-    return hits.drop("__rank", "__at")
+        hits = ranked(hits, query, ranks=ranks, column="__rank").orderBy("__rank", "name").drop("__rank")
+    return hits
 
 
 def compact_hits(df: DataFrame) -> DataFrame:

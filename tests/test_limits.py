@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,7 +27,20 @@ def test_sort_is_ascending_with_undated_last(series):
 
 def test_sort_is_stable(spark):
     df = spark.createDataFrame([("2020-01-01", i) for i in range(50)] + [("2019-01-01", -1)], "date string, value int")
-    assert values(sort_by_date(df)) == [-1, *range(50)]
+    assert values(sort_by_date(df, stable=True)) == [-1, *range(50)]
+    assert values(sort_by_date(df, tie_break=["value"])) == [-1, *range(50)]
+    assert sorted(values(sort_by_date(df))) == [-1, *range(50)]
+
+
+def test_sort_splits_a_hot_date(spark):
+    df = spark.range(20_000).select(F.lit("2020-01-01").alias("date"), "id", F.create_map("id", "id").alias("m"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = sort_by_date(df).select(F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = Counter(r["p"] for r in found)
+    assert len(sizes) > 1 and max(sizes.values()) < 10_000
 
 
 def test_most_recent_returns_ascending(series):
