@@ -127,7 +127,10 @@ class Lake:
         else:
             table = VersionedTable(self.spark, root)
             month = datetime.now(timezone.utc).replace(day=1, hour=0, minute=0, second=0, microsecond=0)
-            df = table.read(table.version_before(month) if freshness == "monthly" else None)
+            commit = table.version_before(month) if freshness == "monthly" else None
+            if commit is None and freshness == "monthly":
+                raise StatlakeError(f"{root} has no version from before this month")
+            df = table.read(commit)
         return write_table(df, path, format or row["__format"])
 
     def sync(self, name: str, root: str, *, format: str = "parquet", force: bool = False,

@@ -369,7 +369,7 @@ def _comparison(expected: DataFrame, actual: DataFrame) -> DataFrame:
         "rows", differing.scalar().alias("differing_rows"))
 
 
-@query(f"SELECT count(*) AS rows, 0 AS differing_rows FROM ({_ORDERS_MERGED})")
+@query(f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing_rows FROM ({_ORDERS_MERGED})")
 def cdc_roundtrip(spark, sf):
     """Baseline plus diff feed is the new snapshot."""
     old, new = table(spark, sf, "orders"), _edited_orders(spark, sf)
@@ -377,7 +377,7 @@ def cdc_roundtrip(spark, sf):
                                               ["o_orderkey"]))
 
 
-@query(f"SELECT count(*) AS rows, 0 AS differing_rows FROM ({_ORDERS_MERGED})")
+@query(f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing_rows FROM ({_ORDERS_MERGED})")
 def cdc_replay(spark, sf):
     """Applying a feed twice changes nothing."""
     feed = orders_feed(spark, sf)
@@ -827,14 +827,14 @@ def sink_json(spark, sf):
 
 
 @query("""
-SELECT c_custkey, encode('POINT (' || c_custkey || ' ' || c_nationkey || ')') AS geometry FROM customer
+SELECT c_custkey, hex(encode('POINT (' || c_custkey || ' ' || c_nationkey || ')')) AS geometry FROM customer
 """)
 def sink_geoparquet(spark, sf):
     """Geometry stays binary on the way out and in."""
     shape = F.concat(F.lit("POINT ("), F.concat_ws(" ", "c_custkey", "c_nationkey"), F.lit(")"))
     shapes = table(spark, sf, "customer").select("c_custkey", F.encode(shape, "UTF-8").alias("geometry"))
     path = writers.write_table(shapes, scratch_path(spark, "shapes"), "geoparquet")
-    return readers.read_table(spark, path, "geoparquet")
+    return readers.read_table(spark, path, "geoparquet").withColumn("geometry", F.hex("geometry"))
 
 
 @query("""
@@ -961,7 +961,7 @@ def sync_statuses(spark, sf):
 
 
 @query(f"""
-SELECT 1 AS version, 'downloaded' AS status, 0 AS ops_applied, (SELECT count(*) FROM orders) AS rows_written
+SELECT CAST(1 AS BIGINT) AS version, 'downloaded' AS status, 0 AS ops_applied, (SELECT count(*) FROM orders) AS rows_written
 UNION ALL
 SELECT 2, 'updated', (SELECT count(*) + count(*) FILTER (WHERE o_orderpriority = '1-URGENT') FROM orders
                       WHERE o_orderpriority <> '4-NOT SPECIFIED'),

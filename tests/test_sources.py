@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from statlake import (
-    Lake, LayoutError, StatlakeError, read_catalog, read_changes, read_envelope, read_records, read_table, same_rows,
-    to_records, write_table,
+    Lake, LayoutError, StatlakeError, VersionedTable, read_catalog, read_changes, read_envelope, read_records,
+    read_table, same_rows, sync_snapshot, to_records, write_table,
 )
 from statlake.operators import catalog as cat
 from statlake.plans.lineage import cut_lineage, scratch_path
@@ -174,6 +174,49 @@ def test_lake_exports(lake, spark, tmp_path):
         lake.download_bulk("shapes", str(tmp_path / "o3"))
 
 
+def test_lake_syncs_by_tier(spark, tmp_path):
+    feed, place = str(tmp_path / "feed"), str(tmp_path / "prices")
+    spark.createDataFrame([(1, "old", False), (1, "a", True), (2, "b", True)],
+                          "id long, name string, is_current boolean").write.parquet(place)
+    page = "_seq long, _op string, id long, name string, is_current boolean"
+    spark.createDataFrame([(4, "I", 2, "b", True)], page).write.parquet(feed)
+    catalog = spark.createDataFrame(
+        [("prices", place, feed, "changelog", ["id"], "is_current = true", "s1"),
+         ("fixed", place, None, None, None, None, "s1")],
+        "name string, path string, feed_path string, cdc_serving_tier string, pk_columns array<string>, "
+        "current_state_filter string, current_snapshot_id string")
+    lake, root = Lake(spark, catalog), str(tmp_path / "copy")
+    first = lake.sync("prices", root, bucket_count=2)
+    assert (first.sync_mode, first.status, first.current_seq) == ("changelog", "downloaded", 4)
+    spark.createDataFrame([(5, "D", 1, "a", True), (6, "I", 3, "c", True)], page).write.mode("append").parquet(feed)
+    assert lake.sync("prices", root).ops_applied == 2
+    assert sorted(tuple(r) for r in VersionedTable(spark, root).read().collect()) == [(2, "b", True), (3, "c", True)]
+    other = str(tmp_path / "fixed")
+    assert [lake.sync("fixed", other).status for _ in range(2)] == ["downloaded", "unchanged"]
+    assert VersionedTable(spark, other).read().count() == 3
+
+
+def test_bulk_export_by_freshness(lake, spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "versions")
+    table = VersionedTable(spark, root)
+    sync_snapshot(spark, root, spark.range(1), "s1")
+    sync_snapshot(spark, root, spark.range(2), "s2")
+    stamps = [r["committed_at"] for r in table.log().orderBy("version").collect()]
+    assert stamps == sorted(stamps)
+    between = dt.datetime.fromisoformat(stamps[1]).replace(tzinfo=dt.timezone.utc)
+    assert table.version_before(between + dt.timedelta(seconds=2)).version == 2
+    assert table.version_before(between - dt.timedelta(days=40)) is None
+    path = lake.download_bulk("series", str(tmp_path / "b1"), root=root)
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(StatlakeError, match="month"):
+        lake.download_bulk("series", str(tmp_path / "b2"), root=root, freshness="monthly")
+    monkeypatch.setattr(VersionedTable, "version_before", lambda self, moment: self.commit(1))
+    path = lake.download_bulk("series", str(tmp_path / "b3"), root=root, freshness="monthly")
+    assert spark.read.parquet(path).count() == 1
+    with pytest.raises(ValueError, match="freshness"):
+        lake.download_bulk("series", str(tmp_path / "b4"), freshness="yearly")
+
+
 def test_lake_reshapes_by_declared_layout(lake, spark):
     declared = lake.catalog.withColumn("layout", F.when(F.col("name") == "series", "long")) \
         .withColumn("id_columns", F.array(F.lit("date"))).withColumn("value_columns", F.array(F.lit("value"))) \
