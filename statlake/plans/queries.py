@@ -110,6 +110,18 @@ def orders_date_range(spark, sf):
     return date_range(orders, "1997-01-01", "1997-12-31", column="o_orderdate")
 
 
+@query("""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
+WHERE o_orderdate <= TIMESTAMP '1996-06-30'
+""")
+def orders_text_dates(spark, sf):
+    """Dates kept as text are parsed, then bounded."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    orders = readers.parse_date(table(spark, sf, "orders").select("o_orderkey", day.alias("date")))
+    return date_range(orders, end="1996-06-30").select(
+        "o_orderkey", F.date_format("date", "yyyy-MM-dd").alias("day"))
+
+
 @query("""
 SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-10 06:00:00'
 """)
@@ -268,24 +280,33 @@ def cdc_merge_composite(spark, sf):
     return cdc.merge_changes(lines, feed, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
-@query("""
+_SCD2_MERGED = """
 SELECT o_orderkey, o_totalprice, CASE o_orderstatus WHEN 'O' THEN 'TRUE' ELSE 'true' END AS is_current
 FROM orders WHERE o_orderstatus IN ('O', 'P') AND o_orderpriority <> '1-URGENT'
 UNION ALL
 SELECT o_orderkey, o_totalprice + 1, 'True' FROM orders WHERE o_orderpriority = '1-URGENT'
-""")
-def cdc_merge_scd2(spark, sf):
-    """A version change arrives as delete, history row, current row; only live rows stay."""
+"""
+
+
+def _versioned_orders(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Orders with history rows among them, and a feed of new versions of urgent orders:
+    delete, the old version as history, the new version as current."""
     state = _flagged(table(spark, sf, "orders")).select("o_orderkey", "o_totalprice", "is_current",
                                                         "o_orderpriority")
     steps = F.array(*[F.struct(F.lit(op).alias("_op"), F.lit(flag).alias("flag"), F.lit(add).alias("add"))
                       for op, flag, add in (("D", "True", 0), ("I", "False", 0), ("I", "True", 1))])
     feed = (state.filter(F.col("o_orderpriority") == "1-URGENT")
             .select("*", F.posexplode(steps).alias("n", "s"))
-            .select((F.col("o_orderkey") * 3 + F.col("n")).alias("_seq"), F.col("s._op").alias("_op"),
+            .select((F.col("o_orderkey") * 3 + F.col("n") + 1).alias("_seq"), F.col("s._op").alias("_op"),
                     "o_orderkey", (F.col("o_totalprice") + F.col("s.add")).alias("o_totalprice"),
                     F.col("s.flag").alias("is_current")))
-    return cdc.merge_changes(state.drop("o_orderpriority"), feed, ["o_orderkey"],
+    return state.drop("o_orderpriority"), feed
+
+
+@query(_SCD2_MERGED)
+def cdc_merge_scd2(spark, sf):
+    """Only live rows stay after a merge."""
+    return cdc.merge_changes(*_versioned_orders(spark, sf), ["o_orderkey"],
                              state_filter="is_current = true")
 
 
@@ -907,6 +928,36 @@ def sync_changelog_stream(spark, sf):
     return VersionedTable(spark, root).read()
 
 
+@query(_SCD2_MERGED)
+def sync_current_state(spark, sf):
+    """History rows are kept out of the table from its baseline on."""
+    root = scratch_path(spark, "versioned")
+    state, feed = _versioned_orders(spark, sf)
+    sync_changelog(spark, root, feed.limit(0), state, key=_ORDERS_KEY, bucket_count=8,
+                   state_filter="is_current = true")
+    sync_changelog(spark, root, feed, state)
+    return VersionedTable(spark, root).read()
+
+
+@query("""
+SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderkey,
+       o_totalprice + CASE WHEN o_orderdate >= TIMESTAMP '1998-06-01' THEN 1 ELSE 0 END AS o_totalprice
+FROM orders
+""")
+def sync_by_period(spark, sf):
+    """Buckets by month: changes to the latest months rewrite few buckets."""
+    root = scratch_path(spark, "periods")
+    orders = table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("period"), "o_orderkey", "o_totalprice")
+    feed = (orders.filter(F.col("period") >= "1998-06")
+            .select((F.col("o_orderkey") + 1).alias("_seq"), F.lit("U").alias("_op"), "period", "o_orderkey",
+                    (F.col("o_totalprice") + 1).alias("o_totalprice")))
+    sync_changelog(spark, root, feed.limit(0), orders, key=["period", "o_orderkey"],
+                   bucket_by=["period"], bucket_count=16)
+    sync_changelog(spark, root, feed, orders)
+    return VersionedTable(spark, root).read()
+
+
 @query("""
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
 """)

@@ -301,6 +301,21 @@ def test_stream_resumes_after_a_crash_on_either_side_of_the_commit(spark, stream
     assert sync_log(spark, root).count() == 2
 
 
+def test_stream_that_keeps_polling(spark, streamed):
+    feed, root, checkpoint = streamed
+    page(spark, feed, (1, "U", 1, "a"))
+    query = stream_changelog(read_feed_stream(spark, feed, changes(spark).schema, files_per_trigger=1), root,
+                             checkpoint=checkpoint, every="1s")
+    try:
+        query.processAllAvailable()
+        page(spark, feed, (2, "D", 1, ""))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert len(current(spark, root)) == 9
+    assert [r["current_seq"] for r in sync_log(spark, root).orderBy("version").collect()] == [0, 1, 2]
+
+
 def test_stream_refuses_rows_that_come_late(spark, streamed):
     feed, root, checkpoint = streamed
     page(spark, feed, (5, "U", 1, "a"))
