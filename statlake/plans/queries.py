@@ -17,12 +17,13 @@ from ..operators import cdc, geo, limits, quality, reshape, search
 from ..operators.filters import (
     current_state, date_range, dimension_contains, from_source, without_geometry,
 )
+from ..operators.ranking import with_row_index
 from ..sources import readers, writers
 from ..streaming.stream import read_feed_stream, stream_changelog
 from ..streaming.sync import sync, sync_changelog, sync_log, sync_snapshot
 from ..streaming.versions import VersionedTable
 from .lake import Lake
-from .lineage import scratch_path
+from .lineage import cut_lineage, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -705,7 +706,8 @@ def metadata_attach(spark, sf):
     """Rows of several datasets get catalogue fields; unknown datasets get nulls."""
     lang = F.when(F.col("n_chars") > 5000, "xx").otherwise(F.col("lang"))
     docs = table(spark, sf, "documents").select("doc_id", F.concat_ws("_", F.col("source"), lang).alias("dataset"))
-    return cat.attach_metadata(docs, catalog_of_documents(spark, sf), "dataset", ["title", "licence"])
+    catalog = cut_lineage(catalog_of_documents(spark, sf), "catalog")  # computed once, then measured and joined
+    return cat.attach_metadata(docs, catalog, "dataset", ["title", "licence"])
 
 
 @query("""
@@ -739,7 +741,7 @@ def source_mismatch(spark, sf):
     docs = table(spark, sf, "documents").select(
         "doc_id", "lang", F.nullif("source", F.lit("src3")).alias("source"))
     expected = table(spark, sf, "documents").groupBy("lang").agg(F.min("source").alias("expected_source"))
-    return quality.source_mismatch(docs, expected, ["lang"])
+    return quality.source_mismatch(docs, cut_lineage(expected, "expected"), ["lang"])
 
 
 @query("""
@@ -873,7 +875,7 @@ def sink_records(spark, sf):
 
 def _payloads(spark, sf) -> str:
     """Record payloads with licences, at most a thousand rows each, one file per task."""
-    pages = (cdc.with_row_index(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"),
+    pages = (with_row_index(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"),
                                 ["o_orderkey"])
              .groupBy(F.floor(F.col("row_index") / 1000).alias("page"))
              .agg(F.collect_list(F.struct("o_orderkey", "o_custkey", "o_orderpriority")).alias("data"),

@@ -45,6 +45,7 @@ def measured_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """``df`` marked for broadcast if it measures below ``limit``, else as it is.
 
-    Unmarked, the join is planned by Catalyst and AQE (shuffled, skew split).
+    Unmarked, the join is planned by Catalyst and AQE (shuffled, skew split).  Measuring reads
+    ``df`` once more: give a written table (``cut_lineage``) if it is costly to compute.
     """
     return F.broadcast(df) if measured_bytes(df) <= limit else df

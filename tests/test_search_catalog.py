@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from statlake import TableMeta, search_catalog, search_rows, source_mismatch
 from statlake.functions.fixed_values import PUBLISHERS, TABLE_META_KEYS

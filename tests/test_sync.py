@@ -1,10 +1,8 @@
-from dataclasses import replace
-
 import pytest
 from pyspark.sql import functions as F
 
 from statlake import (
-    SyncError, TableMeta, VersionedTable, polling_interval, read_feed_stream, same_rows, stream_changelog,
+    SyncError, TableMeta, VersionedTable, polling_interval, read_feed_stream, stream_changelog,
     sync, sync_changelog, sync_log, sync_snapshot,
 )
 from statlake.streaming import sync as sync_module, versions
