@@ -86,7 +86,9 @@ def latest_per_key(
     if live is not None:
         changes = changes.filter((F.col(names.op) == "D") | live)
     rest = [c for c in changes.columns if c not in key]
-    last = F.max_by(F.struct(*[F.col(quoted(c)) for c in rest]), F.col(quoted(names.seq)))
+    # A row without a sequence number counts as the earliest of its key.
+    seq = F.coalesce(F.col(quoted(names.seq)), F.lit(-2**63))
+    last = F.max_by(F.struct(*[F.col(quoted(c)) for c in rest]), seq)
     return (changes.groupBy(*[F.col(quoted(k)) for k in key]).agg(last.alias("__last"))
             .select(*[F.col(quoted(k)) for k in key],
                     *[F.col(f"__last.{quoted(c)}").alias(c) for c in rest])
@@ -106,7 +108,8 @@ def added_rows(
         raise ValueError("keep must be 'all' or 'latest'")
     if keep == "latest":
         changes = latest_per_key(changes, key, state_filter=state_filter, names=names)
-    return strip_bookkeeping(changes.filter(F.col(names.op) != "D"), names)
+    # A row without an operation is no delete, so it stays.
+    return strip_bookkeeping(changes.filter(~F.col(names.op).eqNullSafe("D")), names)
 
 
 def merge_changes(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.fixed_values import EXPORT_ROW_CEILING, PREVIEW_ROWS
 from ..plans.lineage import cut_lineage
 from ..plans.sizing import quoted
+from ..sources.writers import to_records
 from .filters import without_geometry
 from .ranking import with_row_index
 
@@ -105,20 +106,25 @@ def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
 
 @dataclass(frozen=True)
 class Capped:
-    """A bounded export: JSON records and whether more rows exist."""
+    """A bounded export: JSON records, whether more rows exist, and how many if counted."""
 
     records: list[str]
     limit: int
     truncated: bool
+    total: int | None = None
 
 
 def capped_limit(n: int, ceiling: int = EXPORT_ROW_CEILING) -> int:
     return max(1, min(int(n), ceiling))
 
 
-def capped(df: DataFrame, n: int = 100, ceiling: int = EXPORT_ROW_CEILING) -> Capped:
-    """Up to ``min(n, ceiling)`` rows as JSON records, for callers that want a small answer."""
+def capped(df: DataFrame, n: int = 100, ceiling: int = EXPORT_ROW_CEILING, *,
+           count: bool = False) -> Capped:
+    """Up to ``min(n, ceiling)`` rows as JSON records, for callers that want a small answer.
+
+    ``count`` also counts all rows, which reads all of them.
+    """
     limit = capped_limit(n, ceiling)
-    record = F.to_json(F.struct(*_columns(df.columns)), {"ignoreNullFields": "false"})
-    rows = df.select(record.alias("record")).limit(limit + 1).collect()
-    return Capped([r["record"] for r in rows[:limit]], limit, len(rows) > limit)
+    rows = to_records(df.limit(limit + 1)).collect()
+    return Capped([r["record"] for r in rows[:limit]], limit, len(rows) > limit,
+                  df.count() if count else None)

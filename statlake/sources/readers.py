@@ -70,6 +70,8 @@ def read_catalog(spark: SparkSession, path: str, format: str = "json") -> DataFr
 
 def _unwrapped(payload: DataFrame, key: str) -> DataFrame:
     if key in payload.columns and isinstance(payload.schema[key].dataType, T.ArrayType):
+        if not isinstance(payload.schema[key].dataType.elementType, T.StructType):
+            return payload.drop(*payload.columns).limit(0)  # only empty lists: no rows, no columns
         return payload.select(F.inline(key))
     return payload
 

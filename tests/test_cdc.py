@@ -184,6 +184,14 @@ def test_latest_per_key_keeps_deletes_and_column_order(spark, rows):
     assert sorted((r["_seq"], r["_op"]) for r in last.collect()) == [(2, "U"), (3, "D"), (4, "I")]
 
 
+def test_rows_without_operation_or_sequence(spark, rows):
+    state = spark.createDataFrame([(1, "a"), (2, "b")], "id long, val string")
+    changes = spark.createDataFrame([(5, None, 1, "x"), (None, "U", 2, "y"), (None, "D", 1, "")],
+                                    "_seq long, _op string, id long, val string")
+    for keep in ("all", "latest"):
+        assert rows(merge_changes(state, changes, ["id"], keep=keep)) == [(1, "x"), (2, "y")]
+
+
 def test_feed_reports(spark, rows):
     changes = feed(spark, "id long", [("I", i) for i in range(7)] + [("D", 1)], 10)
     assert since(changes, 12).count() == 5 and since(changes, 12, 14).count() == 2

@@ -112,3 +112,4 @@ def test_capped_export(spark):
     whole = capped(df.limit(3), 5)
     assert (len(whole.records), whole.truncated) == (3, False)
     assert capped(df, 0).limit == 1
+    assert capped(df, 5).total is None and capped(df, 5, count=True).total == 600

@@ -28,6 +28,13 @@ def test_catalog_payloads(spark, tmp_path, payload):
     assert sorted(r["name"] for r in got.collect()) == ["a", "b"]
 
 
+def test_empty_payloads(spark, tmp_path):
+    assert read_catalog(spark, put(tmp_path / "c.json", {"datasets": []})).count() == 0
+    assert read_records(spark, put(tmp_path / "r.json", {"data": []})).count() == 0
+    assert read_records(spark, str(tmp_path / "r.json"), ROW).columns == ["date", "value"]
+    assert read_records(spark, str(tmp_path / "r.json"), ROW).count() == 0
+
+
 @pytest.mark.parametrize("schema", [None, ROW])
 @pytest.mark.parametrize("wrapped", [True, False])
 def test_record_payloads(spark, tmp_path, rows, schema, wrapped):
