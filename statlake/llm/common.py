@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import mmap
 import os
 import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -109,3 +112,34 @@ def mapped(uri: str) -> memoryview:
             copy.write(block)
         copy.flush()
         return memoryview(mmap.mmap(copy.fileno(), 0, access=mmap.ACCESS_READ))
+
+
+# ------------------------------------------------------------------ the library itself
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(_archive_folder(), "statlake.zip")
+    if not os.path.exists(path):
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+            for top, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        file = os.path.join(top, name)
+                        out.write(file, os.path.relpath(file, os.path.dirname(package)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
+@functools.cache
+def _archive_folder() -> str:
+    """Holds the archive on the driver while it runs; Spark itself serves it to the executors."""
+    folder = tempfile.TemporaryDirectory(prefix="statlake-code-")
+    atexit.register(folder.cleanup)
+    return folder.name

@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import idfiles, packing
-from .common import table
+from . import bytebpe, idfiles, langid, packing
+from .common import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_byte_bpe(spark, sf):
+    """Ids of all documents under the multilingual ranks, and their decoding."""
+    return bytebpe.encode_texts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                public_tokenizers.PATTERN)
+
+
+def op4_language_id(spark, sf):
+    """Language of all documents, learned from four of five folds."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", held_out("doc_id", 5, 0).alias("held_out"))
+    rows = langid.learn_profiles(docs.where(~F.col("held_out"))).collect()
+    return (langid.identify(docs.select("doc_id", "held_out", "text"), langid.Profiles(rows))
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
 def op6_pack_sequences(spark, sf):
     """Pieces of all documents in sequences of 4096 ids."""
     pieces = packing.token_pieces(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
@@ -24,8 +39,20 @@ def op7_id_files(spark, sf):
     return idfiles.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
+_REGISTERED = (op3_byte_bpe, op4_language_id, op6_pack_sequences, op7_id_files)
+
+
+def shipped(fn):
+    """The query, with this package sent to the executors first."""
+    @functools.wraps(fn)
+    def run(spark, *args):
+        ship(spark)
+        return fn(spark, *args)
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_pack_sequences, op7_id_files)}
+    return {fn.__name__: shipped(fn) for fn in _REGISTERED}
 
 
 def oracle_sql() -> dict[str, str]:
