@@ -8,12 +8,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, idfiles, langid, packing
+from . import bytebpe, idfiles, langid, packing, sharding, topk
 from .common import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_extendible_shards(spark, sf):
+    """The shard of every document, by a hash of its id."""
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    return sharding.assign_shards(docs, "doc_id", F.col("n_bytes"))
+
+
 def op3_byte_bpe(spark, sf):
     """Ids of all documents under the multilingual ranks, and their decoding."""
     return bytebpe.encode_texts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -39,7 +45,12 @@ def op7_id_files(spark, sf):
     return idfiles.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
-_REGISTERED = (op3_byte_bpe, op4_language_id, op6_pack_sequences, op7_id_files)
+def op10_top_k(spark, sf):
+    """The 20 rows with the highest inner products for every twentieth vector, against all others."""
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+_REGISTERED = (op1_extendible_shards, op3_byte_bpe, op4_language_id, op6_pack_sequences, op7_id_files, op10_top_k)
 
 
 def shipped(fn):
@@ -56,4 +67,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_extendible_shards": sharding.ORACLE, "op10_top_k": topk.ORACLE}
