@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, idfiles, langid, packing, sharding, topk
+from . import bytebpe, idfiles, langid, packing, sharding, topk, toxicity
 from .common import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,12 +45,20 @@ def op7_id_files(spark, sf):
     return idfiles.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
+def op9_toxicity(spark, sf):
+    """Toxicity of all documents, learned from the labels of four of five folds."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", held_out("doc_id", 5, 0).alias("held_out"))
+    grammar = toxicity.learn(toxicity.labelled_sample(docs.where(~F.col("held_out")), table(spark, sf, "labels")))
+    return (toxicity.score_texts(docs.select("doc_id", "held_out", "text"), grammar)
+            .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 def op10_top_k(spark, sf):
     """The 20 rows with the highest inner products for every twentieth vector, against all others."""
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-_REGISTERED = (op1_extendible_shards, op3_byte_bpe, op4_language_id, op6_pack_sequences, op7_id_files, op10_top_k)
+_REGISTERED = (op1_extendible_shards, op3_byte_bpe, op4_language_id, op6_pack_sequences, op7_id_files, op9_toxicity, op10_top_k)
 
 
 def shipped(fn):
