@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, idfiles, langid, packing, sharding, topk, toxicity
+from . import bytebpe, idfiles, langid, neardup_vectors, packing, sharding, topk, toxicity
 from .common import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op4_language_id(spark, sf):
             .select("doc_id", "held_out", "lang_pred", "score"))
 
 
+def op5_near_vectors(spark, sf):
+    """Links and components of all vectors at a cosine of 0.95 or more."""
+    return neardup_vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op6_pack_sequences(spark, sf):
     """Pieces of all documents in sequences of 4096 ids."""
     pieces = packing.token_pieces(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
@@ -58,7 +63,7 @@ def op10_top_k(spark, sf):
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-_REGISTERED = (op1_extendible_shards, op3_byte_bpe, op4_language_id, op6_pack_sequences, op7_id_files, op9_toxicity, op10_top_k)
+_REGISTERED = (op1_extendible_shards, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_pack_sequences, op7_id_files, op9_toxicity, op10_top_k)
 
 
 def shipped(fn):
