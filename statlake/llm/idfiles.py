@@ -29,6 +29,7 @@ from .packing import encoded
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
+MOST_TASKS = 10_000  # each reads several files beyond that
 ENTRY = struct.Struct("<QI4I")  # place in the file, ids, compressed bytes of each plane
 FOOTER = struct.Struct("<QQQ")  # place of the index, blocks, place of the document table
 
@@ -192,8 +193,9 @@ def read_ids(files: DataFrame, key_type: T.DataType, key: str = "doc_id") -> Dat
                                       pa.array(sums, pa.int64())], names=schema.names).to_batches(8192):
                     yield part
 
-    # A file a task: files are as large as the sorted partitions that wrote them.
-    return files.select("uri", "first_id").repartition(F.col("uri")).mapInArrow(read, schema)
+    # About a file a task: files are as large as the sorted partitions that wrote them.
+    tasks = max(1, min(files.count(), MOST_TASKS))
+    return files.select("uri", "first_id").repartition(tasks, "uri").mapInArrow(read, schema)
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, idfiles, langid, neardup_vectors, packing, sharding, topk, toxicity
+from . import bytebpe, idfiles, langid, lm, neardup_vectors, packing, sharding, topk, toxicity
 from .common import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,13 @@ def op1_extendible_shards(spark, sf):
     return sharding.assign_shards(docs, "doc_id", F.col("n_bytes"))
 
 
+def op2_kneser_ney(spark, sf):
+    """Log10 probability of all documents, learned from six of seven folds."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", held_out("doc_id", 7, 2).alias("held_out"))
+    model = lm.train(docs.where(~F.col("held_out")))
+    return lm.score_texts(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op3_byte_bpe(spark, sf):
     """Ids of all documents under the multilingual ranks, and their decoding."""
     return bytebpe.encode_texts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -63,7 +70,7 @@ def op10_top_k(spark, sf):
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-_REGISTERED = (op1_extendible_shards, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_pack_sequences, op7_id_files, op9_toxicity, op10_top_k)
+_REGISTERED = (op1_extendible_shards, op2_kneser_ney, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_pack_sequences, op7_id_files, op9_toxicity, op10_top_k)
 
 
 def shipped(fn):
