@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, idfiles, langid, lm, neardup_vectors, packing, sharding, topk, toxicity
+from . import bytebpe, idfiles, langid, lm, neardup_texts, neardup_vectors, packing, sharding, topk, toxicity
 from .common import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op7_id_files(spark, sf):
     return idfiles.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
+def op8_order_minhash(spark, sf):
+    """The class of near copies of every document."""
+    return neardup_texts.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op9_toxicity(spark, sf):
     """Toxicity of all documents, learned from the labels of four of five folds."""
     docs = table(spark, sf, "documents").select("doc_id", "text", held_out("doc_id", 5, 0).alias("held_out"))
@@ -70,7 +75,7 @@ def op10_top_k(spark, sf):
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-_REGISTERED = (op1_extendible_shards, op2_kneser_ney, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_pack_sequences, op7_id_files, op9_toxicity, op10_top_k)
+_REGISTERED = (op1_extendible_shards, op2_kneser_ney, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_pack_sequences, op7_id_files, op8_order_minhash, op9_toxicity, op10_top_k)
 
 
 def shipped(fn):
