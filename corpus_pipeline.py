@@ -1,27 +1,60 @@
-"""The corpus pipeline: each stage reads what the stage before it kept."""
+"""The corpus pipeline: toxicity, language, near copies, packing.
+
+Each stage takes ``(spark, docs, sf_dir)``, works on all that the stage before it kept, and returns the columns of
+``documents``, but for the last, which returns the packed pieces.  What a stage learns it learns from its own
+input and, for toxicity, from the table of labels.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from statlake.llm import langid, neardup_texts, packing, toxicity
+from statlake.llm.common import free_name, held_out, ship, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the grammar scores below 0.5 stay; it learns from four of five folds, as in its own query."""
+    ship(spark)
+    learning = docs.where(~held_out("doc_id", 5, 0))
+    grammar = toxicity.learn(toxicity.labelled_sample(learning, table(spark, sf_dir, "labels")))
+    score = free_name(docs.columns, "toxicity")
+    return toxicity.score_texts(docs, grammar, column=score).where(F.col(score) < 0.5).select(docs.columns)
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts in a known language stay: they hold letters, and n-grams of a learned profile."""
+    ship(spark)
+    learning = docs.where(~held_out("doc_id", 5, 0))
+    profiles = langid.Profiles(langid.learn_profiles(learning).collect())
+    language, score = free_name(docs.columns, "language"), free_name(docs.columns, "nearness")
+    found = langid.identify(docs, profiles, lang_column=language, score_column=score)
+    return found.where((F.col(language) != langid.UNKNOWN) & (F.col(score) > 0)).select(docs.columns)
+
 
-from statlake.llm import packing
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    ship(spark)
+    return neardup_texts.without_copies(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 ids."""
+    ship(spark)
     return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 2))
 
 
-STAGES = [("packing", pack_sequences)]
+STAGES = [("toxicity", drop_toxic), ("language_id", keep_languages), ("near_dedup", drop_near_copies),
+          ("packing", pack_sequences)]
 
-# No stage can be stated in SQL: two learn a model, one aligns texts, one runs a tokenizer.
+# SQL can state none of it: two stages learn a model, one aligns texts, one runs a tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
 
