@@ -1,0 +1,271 @@
+"""Language model, language id, toxicity and shards against plain versions; whole queries on small tables."""
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm_rows import LONG, ROWS
+from statlake.llm import langid, lm, sharding, toxicity
+from statlake.llm.common import fold, held_out
+
+SF = "/root/testdata/sf0.001"
+
+
+# ------------------------------------------------------------------ language model
+
+def words(text):
+    return [w.decode("utf-8", "surrogatepass") for w in (text or "").encode().lower().split()] + ["</s>"]
+
+
+class Plain:
+    """The same model with dictionaries."""
+
+    def __init__(self, texts, order):
+        raw = {n: Counter() for n in range(1, order + 1)}
+        for text in texts:
+            line = ["<s>", *words(text)]
+            for n in raw:
+                raw[n].update(tuple(line[i:i + n]) for i in range(len(line) - n + 1))
+        del raw[1][("<s>",)]
+        self.counts, self.seen = {order: raw[order]}, raw[1]
+        for n in range(order - 1, 0, -1):
+            before = defaultdict(set)
+            for gram in raw[n + 1]:
+                before[gram[1:]].add(gram[0])
+            self.counts[n] = Counter({g: raw[n][g] if g[0] == "<s>" else len(before[g]) for g in raw[n]})
+        self.discounts = {n: lm.discounts([sum(c == k for c in found.values()) for k in (1, 2, 3, 4)])
+                          for n, found in self.counts.items()}
+        self.contexts = {n: defaultdict(lambda: [0, 0.0]) for n in self.counts}
+        for n, found in self.counts.items():
+            for gram, count in found.items():
+                self.contexts[n][gram[:-1]][0] += count
+                self.contexts[n][gram[:-1]][1] += self.discounts[n][min(count, 3)]
+        self.order, self.vocabulary = order, len(self.counts[1])
+
+    def p(self, context, word):
+        below = self.p(context[1:], word) if context else 1 / (self.vocabulary + 1)
+        n = len(context) + 1
+        if context not in self.contexts[n]:
+            return below
+        total, spare = self.contexts[n][context]
+        count = self.counts[n].get((*context, word), 0)
+        return (max(count - self.discounts[n][min(count, 3)], 0) + spare * below) / total
+
+    def score(self, text):
+        line = ["<s>", *words(text)]
+        return sum(math.log10(self.p(tuple(line[max(0, i - self.order + 1):i]), line[i])) for i in range(1, len(line)))
+
+
+CORPUS = ["the cat sat on the mat", "the CAT sat", "a cat  sat\ton\nthe hat", "the the the", None, "", "é É é", "on the mat on the mat",
+          "a b a b a b a c", "x" * 500] * 2 + ["the cat sat on the mat the dog"]
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_against_dictionaries(spark, documents, order, monkeypatch):
+    monkeypatch.setattr(lm, "TOKENS_AT_ONCE", 20)
+    plain = Plain(CORPUS, order)
+    df = documents([(i, t, None) for i, t in enumerate(CORPUS)], True).repartition(3)
+    model = lm.train(df, order=order)
+    asked = [*CORPUS, "unseen words only", "the unseen mat", LONG[:3000]]
+    got = lm.score_texts(documents([(i, t, None) for i, t in enumerate(asked)]), model).collect()
+    tokens = sum(plain.seen.values())
+    for r in got:
+        line = words(asked[r.doc_id])
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(line), sum((w,) in plain.seen for w in line), tokens)
+        assert r.base_score == pytest.approx(sum(math.log10((plain.seen[(w,)] + 1) / (tokens + plain.vocabulary + 1)) for w in line))
+        assert r.score == pytest.approx(plain.score(asked[r.doc_id]))
+
+
+def test_probabilities_sum_to_one():
+    plain = Plain(CORPUS, 3)
+    known = [w for (w,) in plain.counts[1]]
+    for context in [("<s>",), ("the", "cat"), ("never", "seen"), ("a",)]:
+        assert sum(plain.p(context, w) for w in [*known, "<unknown>"]) == pytest.approx(1)
+
+
+def test_nothing_to_learn_from(spark, documents):
+    model = lm.train(documents([]))
+    r = lm.score_texts(documents([(1, "some words", "en")]), model).first()
+    assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0)
+    assert lm.score_texts(documents([]), model).count() == 0
+
+
+def test_counts_of_many_occurrences(spark, documents):
+    df = documents([(1, "hot pair " * 700, None)])
+    model = lm.train(df)
+    pair = [np.array([lm._hashes[w]], np.uint64) for w in (b"hot", b"pair")]
+    assert model.counts(*pair).tolist() == [700]
+
+
+# ------------------------------------------------------------------ language id
+
+def plain_grams(text):
+    cleaned = "".join(c if c.isalpha() else " " for c in text.lower())
+    return Counter(g for w in cleaned.split() for padded in [f" {w} "] for n in (1, 2, 3)
+                   for i in range(len(padded) - n + 1) for g in [padded[i:i + n]] if g != " ")
+
+
+def code(gram):
+    value = 0
+    for c in gram:
+        value = value << 21 | ord(c)
+    return value
+
+
+def plain_rank(counts, size):
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], code(x[0])))[:size]]
+
+
+def test_grams_are_those_of_the_words():
+    for _, text, _ in ROWS:
+        text = (text or "")[:4000]
+        codes, totals = langid.counted(langid.grams(text))
+        assert dict(zip(codes.tolist(), totals.tolist())) == {code(g): n for g, n in plain_grams(text).items()}
+
+
+def test_language_against_plain_profiles(spark, documents):
+    rows = [(i, f"{a} {b} {i}", lang) for i, (a, b, lang) in enumerate(
+        (a, b, lang) for lang, bag in (("en", "the cat and dog of house"), ("fr", "le chat et chien du maison"), ("de", "die katze und hund"))
+        for a in bag.split() for b in bag.split())] + [(i, t, x) for i, t, x in ROWS if t is None or len(t) < 6000]
+    df = documents(rows, True)
+    size = 40
+    profiles = langid.Profiles(langid.learn_profiles(df, size=size).collect(), size)
+    sums = defaultdict(Counter)
+    for _, text, lang in rows:
+        if lang is not None:
+            sums[lang].update(plain_grams(text or ""))
+    ranks = {lang: {g: r for r, g in enumerate(plain_rank(c, size))} for lang, c in sums.items()}
+    got = langid.identify(df.drop("score"), profiles).select("text", "lang_pred", "score").collect()
+    for text, lang, score in got:
+        mine = plain_rank(plain_grams(text or ""), size)
+        if not mine:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        far = {x: sum(min(size, abs(r - known[g])) if g in known else size for r, g in enumerate(mine)) for x, known in ranks.items()}
+        want = min(sorted(far), key=far.get)
+        assert lang == want and score == pytest.approx(1 - far[want] / (size * len(mine))) and 0 <= score <= 1
+
+
+def test_no_language_is_known(spark, documents):
+    profiles = langid.Profiles(langid.learn_profiles(documents([(1, "text", None)])).collect())
+    assert [tuple(r) for r in langid.identify(documents([(1, "text", None)]), profiles).select("lang_pred", "score").collect()] == [("und", 0.0)]
+    assert langid.identify(documents([]), profiles).count() == 0
+
+
+# ------------------------------------------------------------------ toxicity
+
+def grammar():
+    return toxicity.Grammar(toxicity.Lexicon(["idiot"], ["zorb"], ["mudd"], []))
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("what an idiot", {"insult": 1}), ("You are an IDIOT!", {"aimed insult": 1}), ("he is not an idiot", {"negated insult": 1}),
+    ("he is not. idiot", {"insult": 1}), ("she said idiot and zorbing", {"reported insult": 2}), ("she said. idiot", {"insult": 1}),
+    ("zorbo zorbi", {"insult": 2}), ("i will kill you", {"threat": 1}), ("do not kill you", {"negated threat": 1}),
+    ("kill the time", {}), ("kill. you", {}), ("not at all in any way an idiot", {"insult": 1}), ("idiots", {}), ("", {}),
+    ("mudd", {"likely insult 1-2": 1}), ("mudd " * 9, {"likely insult 4-2": 1}), ("mudd" + " fine" * 900, {"likely insult 1-0": 1}),
+    ("he wrote he would kill you", {"reported threat": 1}), ("***idiot***", {"insult": 1})])
+def test_matched_clauses(text, kinds):
+    assert grammar().matches(text) == kinds
+
+
+def test_scores_are_chances():
+    g = grammar()
+    scores = [g.score(t) for t in ("", "fine", "not an idiot", "idiot", "idiot idiot", "you idiot")]
+    assert scores[0] == scores[1] < scores[2] < 0.5 < scores[3] < scores[4] and all(0 <= s <= 1 for s in scores)
+
+
+def test_insults_are_learned_from_labels(spark):
+    rng = np.random.default_rng(9)
+    rows, labels = [], []
+    for i in range(600):
+        line = [f"w{x}" for x in rng.integers(0, 300, 60)]
+        line = [w.replace("w", "wq").translate(str.maketrans("0123456789", "abcdefghij")) for w in line]
+        toxic = i % 6 == 0
+        if toxic:
+            for at in rng.integers(0, 60, 4):
+                line.insert(int(at), rng.choice(["grumpf", "zorba", "zorbe", "zorbi", "zorbo"]))
+        rows.append((i, " ".join(line)))
+        labels += [(i, 1, int(toxic))] * (1 + i % 2)
+    # Many copies of one toxic text must not make its ordinary words insults.
+    rows += [(1000 + i, "rareword otherword grumpf here") for i in range(200)]
+    labels += [(1000 + i, 1, 1) for i in range(200)] + [(5000, 1, 1), (None, 1, 1), (3, 1, None)]
+    docs = spark.createDataFrame(rows + [(None, "x"), (2000, None)], "doc_id long, text string")
+    sample = toxicity.labelled_sample(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    learned = toxicity.learn(sample)
+    assert "grumpf" in learned.lexicon.words and any(s.startswith("zor") for s in learned.lexicon.stems)
+    assert "rareword" not in learned.lexicon.words + learned.lexicon.likely_words
+    got = toxicity.score_texts(docs, learned).collect()
+    assert all((r.score >= 0.5) == (r.doc_id is not None and (r.doc_id % 6 == 0 if r.doc_id < 600 else 1000 <= r.doc_id < 1200)) for r in got)
+
+
+def test_toxicity_without_labels_or_rows(spark, documents):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    learned = toxicity.learn(toxicity.labelled_sample(documents(ROWS), labels))
+    assert learned.lexicon == toxicity.Lexicon([], [], [], [])
+    got = toxicity.score_texts(documents(ROWS), learned).collect()
+    assert len(got) == len(ROWS) and all(0 <= r.score < 0.5 for r in got)
+    assert toxicity.score_texts(documents([]), learned).count() == 0
+
+
+def test_the_sample_has_its_bound(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(4000).selectExpr("id AS doc_id", "1 AS quality", "CAST(id % 4 = 0 AS INT) AS toxic")
+    counts = {r.toxic: r["count"] for r in toxicity.labelled_sample(docs, labels, 100, 300).groupBy("toxic").count().collect()}
+    assert 60 < counts[True] < 140 and 230 < counts[False] < 370
+
+
+# ------------------------------------------------------------------ shards
+
+def plain_shards(keys, sizes, limit):
+    import hashlib
+    bits = [bin((1 << 60) - 1 if k is None else int(hashlib.md5(str(k).encode()).hexdigest()[:15], 16))[2:].zfill(60) for k in keys]
+    out = []
+    for mine in bits:
+        for d in range(61):
+            group = [s for s, b in zip(sizes, bits) if b[:d] == mine[:d]]
+            if sum(group) <= limit or len(group) == 1:
+                out.append((mine[:d], d, len(group), sum(group)))
+                break
+    return out
+
+
+def test_shards_against_all_prefixes(spark):
+    rng = np.random.default_rng(10)
+    keys = [*range(300), None]
+    sizes = [int(x) for x in rng.integers(0, 400, 299)] + [5000, 3]
+    df = spark.createDataFrame(list(zip(keys, sizes)), "doc_id long, n_bytes long").repartition(3)
+    got = sharding.assign_shards(df, "doc_id", F.col("n_bytes"), 1000).collect()
+    want = Counter((k, s, *x) for k, s, x in zip(keys, sizes, plain_shards(keys, sizes, 1000)))
+    assert Counter(tuple(r) for r in got) == want
+
+
+def test_a_key_larger_than_a_shard_is_split(spark):
+    rows = [(7, "x" * 100)] * 300 + [(i, "y" * 100) for i in range(100, 150)] + [(None, None)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.assign_shards(df, "doc_id", F.octet_length("text"), 1000).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    shards = defaultdict(list)
+    for r in got:
+        shards[r["shard"]].append(r)
+    assert all(sum(len(r.text or "") for r in rs) == rs[0].shard_bytes <= 1000 and len(rs) == rs[0].shard_rows for rs in shards.values())
+    assert all(not (a != b and b.startswith(a)) for a in shards for b in shards)
+
+
+def test_shards_of_nothing_and_of_one(spark, documents):
+    size = F.octet_length("text")
+    assert sharding.assign_shards(documents([]), "doc_id", size).count() == 0
+    assert [(r.shard, r.shard_depth, r.shard_rows) for r in sharding.assign_shards(documents(ROWS[:3], True), "doc_id", size).collect()] == [("", 0, 3)] * 3
+    with pytest.raises(ValueError, match="overwritten"):
+        sharding.assign_shards(documents(ROWS).withColumn("Shard", F.lit(1)), "doc_id", size)
+
+
+def test_folds_match_crc32(spark, documents):
+    import zlib
+    got = documents(ROWS).select("doc_id", fold("doc_id", 7), held_out("doc_id", 5, 0)).collect()
+    for key, seven, out in got:
+        assert seven == (-1 if key is None else zlib.crc32(str(key).encode()) % 7)
+        assert out == (key is not None and zlib.crc32(str(key).encode()) % 5 == 0)
