@@ -356,7 +356,7 @@ class Model:
         counts, own = found[0], found[5]
         if self.order == 2:
             own = np.where(words == np.uint64(_special(b"\n")), self.texts, own)
-        p = ((np.maximum(counts - self.discounts[1][np.minimum(counts, 3)], 0) / self.sum if self.sum else 0.0)
+        p = (np.maximum(counts - self.discounts[1][np.minimum(counts, 3)], 0) / max(self.sum, 1)
              + self.spare / (vocabulary + 1))[back]
         own = own[back]
         base = np.log10((own + 1) / (all_tokens + vocabulary + 1))

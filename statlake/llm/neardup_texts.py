@@ -256,7 +256,8 @@ def _still_apart(shared: DataFrame, classes: DataFrame, united: DataFrame, simil
 
 def classes_of(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                tile: int = TILE) -> DataFrame:
-    """``row_id, cid, class_id`` of every row: its id, its exact text, and the smallest id of its class."""
+    """``row_id, cid, component, class_id`` of every row with a word: its id, its exact text, its class, and that class's
+    smallest id."""
     rows = cut_lineage(_sketched(docs, key, text), "sketches")
     classes = cut_lineage(rows.groupBy("cid").agg(
         F.min("row_id").alias("least"), F.any_value("n").alias("n"), F.any_value("parity").alias("parity"),
@@ -280,7 +281,7 @@ def classes_of(docs: DataFrame, key: str = "doc_id", text: str = "text", similar
     named = classes.select("cid", "least").join(united.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
     smallest = named.groupBy("component").agg(F.min("least").alias("class_id"))
-    names = cut_lineage(named.join(smallest, "component").select("cid", "class_id"), "names")
+    names = cut_lineage(named.join(smallest, "component").select("cid", "component", "class_id"), "names")
     return rows.select("row_id", "cid").join(names, "cid")
 
 
@@ -304,7 +305,7 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", sim
     """The rows that stay, with all their columns: of each class one row with its smallest id, and all texts without a word."""
     own, named = free_name(docs.columns, "own_cid"), classes_of(docs, key, text, similarity)
     # Of copies of one text the first with that id; of different texts with one id in one class the smaller hash.
-    one = cut_lineage(named.where(F.col("row_id").eqNullSafe(F.col("class_id"))).groupBy("class_id")
+    one = cut_lineage(named.where(F.col("row_id").eqNullSafe(F.col("class_id"))).groupBy("component", "class_id")
                       .agg(F.min("cid").alias("c")).select(F.col("class_id").alias("i"), "c"), "stay")
     kept = (docs.withColumn(own, F.xxhash64(text)).join(one, (F.col(own) == F.col("c")) & F.col(key).eqNullSafe(F.col("i")))
             .dropDuplicates([key, own]).select(docs.columns))
