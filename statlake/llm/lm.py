@@ -28,7 +28,7 @@ from ..plans.lineage import cut_lineage, scratch_path
 from .common import mapped, new_file, write_file
 
 ORDER = 2
-PART_BYTES = 64 << 20  # training text per part of the lower orders
+PART_BYTES = 16 << 20  # training text per part of the lower orders
 SUFFIX_SPLIT = 4  # parts of the highest order for each of these
 LEAST_PARTS = 16
 TOKENS_AT_ONCE = 4_000_000  # counted together inside a task
