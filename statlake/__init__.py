@@ -7,7 +7,7 @@ from .operators.cdc import (
     diff_snapshots, feed_pages, high_water, latest_per_key, merge_changes, op_counts, since,
 )
 from .operators.filters import (
-    current_state, date_range, dimension_contains, from_source, resolve_date_column,
+    current_state, date_range, dimension_contains, from_publisher, from_source, resolve_date_column,
     without_geometry,
 )
 from .operators.geo import envelope, within_bbox

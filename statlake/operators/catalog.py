@@ -163,10 +163,3 @@ def labelled(df: DataFrame, entries: TableMeta) -> DataFrame:
 def with_source(df: DataFrame, source: str, column: str = "source") -> DataFrame:
     """Label rows with the source they were read from."""
     return df.withColumn(column, F.lit(source))
-
-
-def data_sources(envelope: DataFrame) -> DataFrame:
-    """Distinct licence records of an envelope payload."""
-    kind = envelope.schema["data_sources"].dataType
-    assert isinstance(kind, T.ArrayType)
-    return envelope.select(F.explode("data_sources").alias("s")).select("s.*").distinct()

@@ -56,7 +56,8 @@ def without_keys(
 
     ``touched`` is made distinct first (partial aggregation before its shuffle), so one
     key repeated any number of times costs one row.  A hot key on the state side is
-    split by AQE, or never moved when the keys are broadcast.  Null keys match null keys
+    split by AQE, or never moved when the keys are broadcast, which callers ask for only after
+    they have measured them.  Null keys match null keys
     unless ``null_safe=False``, which callers use once they have counted no null key.
     """
     aliases = [f"__k{i}" for i in range(len(key))]
@@ -120,7 +121,6 @@ def merge_changes(
     state_filter: str | None = None,
     keep: str = "all",
     names: ChangeColumns = NAMES,
-    broadcast_keys: bool = False,
     null_safe: bool = True,
 ) -> DataFrame:
     """Apply a change feed to a keyed table.
@@ -136,7 +136,7 @@ def merge_changes(
     added = added_rows(changes, key, state_filter=state_filter, keep=keep, names=names)
     kept = strip_bookkeeping(state, names)
     if all(k in state.columns for k in key):
-        kept = without_keys(kept, changes, key, broadcast=broadcast_keys, null_safe=null_safe)
+        kept = without_keys(kept, changes, key, null_safe=null_safe)
     return current_state(kept.unionByName(added, allowMissingColumns=True), state_filter)
 
 
@@ -175,6 +175,17 @@ def feed_pages(changes: DataFrame, page_rows: int = FEED_PAGE_ROWS,
                         (F.col("__last") < end).alias("truncated"))
 
 
+def _hashable(schema: T.StructType) -> list[Column]:
+    """What a row hash has to see: Spark's skips nulls, so each column comes with a null flag, and nested
+    values go in as JSON text, in which their nulls have a place."""
+    parts = []
+    for f in schema.fields:
+        column = F.col(quoted(f.name))
+        nested = isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
+        parts += [F.to_json(F.struct(column), {"ignoreNullFields": "false"}) if nested else column, column.isNull()]
+    return parts
+
+
 def changed_candidates(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both tables without the rows whose digests cancel out.
 
@@ -182,7 +193,8 @@ def changed_candidates(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataF
     of rows on either side; rows with those digests are then picked by a semi join.
     """
     columns = [F.col(quoted(c)) for c in old.columns]
-    digests = [F.xxhash64(*columns).alias("__h1"), F.xxhash64(F.lit(1), *columns).alias("__h2")]
+    parts = _hashable(old.schema)
+    digests = [F.xxhash64(*parts).alias("__h1"), F.xxhash64(F.lit(1), *parts).alias("__h2")]
     changed = signed_difference(old.select(*digests), new.select(*digests), "__net").drop("__net")
     changed = broadcast_if_small(cut_lineage(changed, "digests"))
 
@@ -205,6 +217,11 @@ def diff_rows(old: DataFrame, new: DataFrame, op: str = NAMES.op, *,
     """
     if by_digest:
         old, new = changed_candidates(old, new)
+    return _numbered_copies(old, new, op).drop("__copy")
+
+
+def _numbered_copies(old: DataFrame, new: DataFrame, op: str) -> DataFrame:
+    """The rows of a diff with ``__copy``, the number of each among its equals."""
     net = signed_difference(old, new, "__net")
     copies = F.abs("__net")
     chunk = 65_536  # keeps the arrays that repeat a row small, however many copies there are
@@ -215,7 +232,7 @@ def diff_rows(old: DataFrame, new: DataFrame, op: str = NAMES.op, *,
         .withColumn("__copy", F.explode(F.sequence(
             F.col("__from"), F.least(F.col("__from") + chunk, copies) - 1,
             F.lit(1).cast("long"))))
-        .drop("__net", "__from", "__copy")
+        .drop("__net", "__from")
     )
 
 
@@ -235,9 +252,12 @@ def diff_snapshots(
     Sequence numbers are dense and start after ``after_seq``; all deletes precede all
     inserts, so an update is a ``D`` followed by an ``I`` of the same key.
     """
-    rows = diff_rows(old, new, names.op, by_digest=by_digest)
-    order: list[Column] = [F.col(names.op), *[F.col(quoted(k)) for k in key]]
-    ranked = with_row_index(rows, order, "__rank")
+    if by_digest:
+        old, new = changed_candidates(old, new)
+    # Row hash and copy number split a key with a large share of the changes over many tasks.
+    order: list[Column] = [F.col(names.op), *[F.col(quoted(k)) for k in key],
+                           F.xxhash64(*_hashable(old.schema)), F.col("__copy")]
+    ranked = with_row_index(_numbered_copies(old, new, names.op), order, "__rank")
     return ranked.select(
         (F.col("__rank") + F.lit(after_seq + 1)).cast("long").alias(names.seq),
         F.col(names.op),

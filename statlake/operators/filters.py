@@ -16,13 +16,13 @@ from ..plans.sizing import quoted
 
 
 def from_source(df: DataFrame, source: str | None, column: str = "source") -> DataFrame:
-    """Rows of one source, matched exactly; an unknown source gives no rows.
+    """Rows of one source, matched exactly; an unknown source gives no rows."""
+    return df.filter(F.col(column) == source) if source else df
 
-    A short publisher name stands for its source label.
-    """
-    if not source:
-        return df
-    return df.filter(F.col(column) == PUBLISHERS.get(source, source))
+
+def from_publisher(df: DataFrame, publisher: str | None, column: str = "source") -> DataFrame:
+    """Rows of one publisher, given by its short name or its source label."""
+    return from_source(df, PUBLISHERS.get(publisher, publisher) if publisher else None, column)
 
 
 def without_geometry(df: DataFrame) -> DataFrame:
@@ -48,11 +48,15 @@ def date_range(
     *,
     column: str | None = None,
     meta: TableMeta | None = None,
+    unreadable: str = "error",
 ) -> DataFrame:
     """Rows with ``start <= date <= end``; each ISO bound is optional and inclusive.
 
-    A table without a date axis is returned whole, with a warning.
+    A table without a date axis is returned whole, with a warning.  Text that is no date (``2024Q1``)
+    is an error at run time, unless ``unreadable`` says to ``"keep"`` or to ``"drop"`` such rows.
     """
+    if unreadable not in ("error", "keep", "drop"):
+        raise ValueError("unreadable must be 'error', 'keep' or 'drop'")
     if start is None and end is None:
         return df
     for bound in (start, end):
@@ -65,12 +69,19 @@ def date_range(
     kind = df.schema[column].dataType
     value = F.col(quoted(column))
     if isinstance(kind, T.StringType):
-        value, kind = F.try_to_timestamp(value), T.TimestampType()
+        text, value, kind = value, F.try_to_timestamp(value), T.TimestampType()
+        strange = text.isNotNull() & value.isNull()
+        if unreadable == "error":
+            message = F.concat(F.lit(f"{column!r} holds text that is no date: "), text)
+            value = F.when(strange, F.raise_error(message).cast(kind)).otherwise(value)
+    inside = F.lit(True)
     if start is not None:
-        df = df.filter(value >= F.lit(start).cast(kind))
+        inside = inside & (value >= F.lit(start).cast(kind))
     if end is not None:
-        df = df.filter(value <= F.lit(end).cast(kind))
-    return df
+        inside = inside & (value <= F.lit(end).cast(kind))
+    if isinstance(df.schema[column].dataType, T.StringType) and unreadable == "keep":
+        inside = inside | strange
+    return df.filter(inside)
 
 
 def dimension_columns(df: DataFrame, layout: Layout | None = None) -> list[str]:

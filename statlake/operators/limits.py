@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.fixed_values import EXPORT_ROW_CEILING, PREVIEW_ROWS
 from ..plans.lineage import cut_lineage
@@ -14,8 +14,10 @@ from ..sources.writers import to_records
 from .filters import without_geometry
 from .ranking import with_row_index
 
-# Up to this many rows the per-task top lists are merged in one task (TakeOrdered).
-TOP_K_ROWS = 100_000
+# Up to this many rows the tasks' top lists are merged in shares and then in one task, beyond it rows are ranked
+# by a range partition.  Both give the same rows.
+TOP_K_ROWS = 10_000
+SHARES = 64
 
 
 def _columns(names: Sequence[str]) -> list:
@@ -45,8 +47,6 @@ def first_n(df: DataFrame, n: int | None, order: Sequence[str] = ()) -> DataFram
     """First ``n`` rows by ``order`` (input position if none given)."""
     if n is None or n <= 0:
         return df
-    if not order:
-        return df.limit(n) if n <= TOP_K_ROWS else _top(df, n, [])
     return _top(df, n, [c.asc_nulls_last() for c in _columns(order)])
 
 
@@ -78,10 +78,13 @@ def most_recent(
     if undated == "exclude":
         df = df.filter(F.col(quoted(date)).isNotNull())
     ties = _columns(tie_break)
-    if two_pass and n <= TOP_K_ROWS:
+    if two_pass:
         day = F.col(quoted(date))
-        nth = (df.select(day).filter(day.isNotNull()).orderBy(day.desc()).limit(n)
-               .agg(F.min(quoted(date))).scalar())
+        # Rows per date, combined where they are read; of the n latest dates those that are reached.
+        dates = df.filter(day.isNotNull()).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+        later = Window.orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        nth = (dates.orderBy(F.col("day").desc()).limit(n).withColumn("later", F.coalesce(F.sum("rows").over(later), F.lit(0)))
+               .filter(F.col("later") < n).agg(F.min("day")).scalar())
         df = df.filter(day.isNull() | (day >= nth))
     latest = _top(df, n, [F.col(quoted(date)).desc_nulls_first(), *(c.desc() for c in ties)],
                   later_first=True)
@@ -92,7 +95,11 @@ def _top(df: DataFrame, n: int, order: list, later_first: bool = False) -> DataF
     position = F.col("__at").desc() if later_first else F.col("__at").asc()
     placed = df.withColumn("__at", F.monotonically_increasing_id())
     if n <= TOP_K_ROWS:
-        return placed.orderBy(*order, position).limit(n).drop("__at")
+        # A task's best rows go to one of a few shares first, so no task merges the lists of all tasks.
+        share = F.pmod(F.spark_partition_id(), F.lit(SHARES))
+        best = Window.partitionBy("__share").orderBy(*order, position)
+        merged = placed.withColumn("__share", share).withColumn("__place", F.row_number().over(best)).filter(F.col("__place") <= n)
+        return merged.orderBy(*order, position).limit(n).drop("__at", "__share", "__place")
     # Positions decide which partition a row goes to, so they are written down first.
     ranked = with_row_index(cut_lineage(placed, "placed"), [*order, position], "__rank")
     return ranked.filter(F.col("__rank") < n).drop("__rank", "__at")

@@ -154,18 +154,17 @@ def to_wide(
     )
 
 
-def _duplicate_error(kind: T.DataType):
-    return F.raise_error(F.lit("two rows share one id and measure; the table cannot be widened")).cast(kind)
+def _duplicate_error():
+    return F.raise_error(F.lit("two rows share one id and measure; the table cannot be widened")).cast("boolean")
 
 
-def _unknown_error(kind: T.DataType):
-    return F.raise_error(F.lit("a measure is not in the given names")).cast(kind)
+def _unknown_error():
+    return F.raise_error(F.lit("a measure is not in the given names")).cast("boolean")
 
 
 def _cells_direct(df, ids, names_from, values_from, names, labels, given):
     """One aggregation on the ids, combined before its only shuffle."""
     name, value = F.col(quoted(names_from)), F.col(quoted(values_from))
-    kind = df.schema[values_from].dataType
     aggs = []
     for i, n in enumerate(names):
         here = name.isNull() if n is None else name == F.lit(n)
@@ -174,27 +173,26 @@ def _cells_direct(df, ids, names_from, values_from, names, labels, given):
     everything = F.count(F.lit(1)).alias("__rows")
     grouped = df.groupBy(*[F.col(quoted(c)) for c in ids]).agg(everything, *aggs)
     known = sum((F.col(f"__n{i}") for i in range(len(names))), F.lit(0))
-    columns = []
-    for i, label in enumerate(labels):
-        cell = F.when(F.col(f"__n{i}") > 1, _duplicate_error(kind))
-        if given:
-            cell = cell.when(F.col("__rows") != known, _unknown_error(kind))
-        columns.append(cell.otherwise(F.col(f"__v{i}")).alias(label))
-    return grouped.select(*[F.col(quoted(c)) for c in ids], *columns)
+    # A filter, since a check inside a column would go when the column is not read.
+    sound = F.when(F.greatest(*[F.col(f"__n{i}") for i in range(len(names))], F.lit(0)) > 1, _duplicate_error())
+    if given:
+        sound = sound.when(F.col("__rows") != known, _unknown_error())
+    return grouped.filter(sound.otherwise(F.lit(True))).select(
+        *[F.col(quoted(c)) for c in ids], *[F.col(f"__v{i}").alias(label) for i, label in enumerate(labels)])
 
 
 def _cells_two_step(df, ids, names_from, values_from, names, labels, given):
     """Cells first, then Spark's pivot of unique cells: cost per row does not grow with names."""
     name, value = F.col(quoted(names_from)), F.col(quoted(values_from))
-    kind = df.schema[values_from].dataType
     cells = (df.groupBy(*[F.col(quoted(c)) for c in ids], name)
              .agg(F.first(value).alias("__v"), F.count(F.lit(1)).alias("__n")))
-    checked = F.when(F.col("__n") > 1, _duplicate_error(kind)).otherwise(F.col("__v"))
+    sound = F.when(F.col("__n") > 1, _duplicate_error())
     if given:
         listed = name.isin([n for n in names if n is not None])
         if None in names:
             listed = listed | name.isNull()
-        checked = F.when(~F.coalesce(listed, F.lit(False)), _unknown_error(kind)).otherwise(checked)
-    cells = cells.select(*[F.col(quoted(c)) for c in ids], name, checked.alias("__v"))
+        sound = sound.when(~F.coalesce(listed, F.lit(False)), _unknown_error())
+    cells = cells.filter(sound.otherwise(F.lit(True))).select(*[F.col(quoted(c)) for c in ids], name, "__v")
+    # Spark names a pivot's columns by its own rule; these are named as in the direct way.
     return (cells.groupBy(*[F.col(quoted(c)) for c in ids])
-            .pivot(names_from, names).agg(F.first("__v")))
+            .pivot(names_from, names).agg(F.first("__v")).toDF(*ids, *labels))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.fixed_values import PUBLISHERS
 from ..model import ChangeColumns, Layout, StatlakeError, SyncResult, TableMeta
 from ..operators import catalog as cat
-from ..operators.filters import date_range, dimension_contains, from_source, resolve_date_column
+from ..operators.filters import date_range, dimension_contains, from_publisher, from_source, resolve_date_column
 from ..operators.limits import most_recent, preview as preview_rows, sort_by_date
 from ..operators.reshape import to_long, to_wide
 from ..operators.search import search_catalog
@@ -27,23 +27,28 @@ class Lake:
     Beside its metadata a catalogue row has ``path`` (where the table is), and optionally
     ``format``, ``feed_path`` (its change feed) and ``current_state_filter``.  If the catalogue
     has a ``date_filter_column``, a null there says the dataset has no date axis; if it has
-    none, the glossary is looked at.  All reads are lazy; nothing runs until an action.
+    none, the glossary is looked at.  A dataset's description is read once, by one small job; what is read
+    from the dataset itself is lazy.
     """
 
     def __init__(self, spark: SparkSession, catalog: DataFrame, names: ChangeColumns = ChangeColumns()):
         self.spark, self.catalog, self.names = spark, catalog, names
+        self._rows: dict[str, dict] = {}
 
-    def list(self, source: str | None = None) -> DataFrame:
-        return from_source(self.catalog, source)
+    def list(self, source: str | None = None, *, publisher: str | None = None) -> DataFrame:
+        """Datasets of a source label, matched exactly, or of a publisher by its short name or label."""
+        return from_publisher(from_source(self.catalog, source), publisher)
 
-    def search(self, query: str, source: str | None = None) -> DataFrame:
-        return search_catalog(self.catalog, query, source=source)
+    def search(self, query: str, source: str | None = None, *, publisher: str | None = None) -> DataFrame:
+        return search_catalog(from_publisher(self.catalog, publisher), query, source=source)
 
     def _row(self, name: str) -> dict:
-        row = self.catalog.filter(F.col("name") == name).limit(1).collect()
-        if not row:
-            raise StatlakeError(f"the catalogue has no dataset {name!r}")
-        return row[0].asDict(recursive=True)
+        if name not in self._rows:
+            row = self.catalog.filter(F.col("name") == name).limit(1).collect()
+            if not row:
+                raise StatlakeError(f"the catalogue has no dataset {name!r}")
+            self._rows[name] = row[0].asDict(recursive=True)
+        return dict(self._rows[name])
 
     def info(self, name: str) -> TableMeta:
         return TableMeta.of(self._row(name))
@@ -88,8 +93,8 @@ class Lake:
                 warnings.warn(f"{name!r} is published by {actual!r}, not {expected!r}",
                               UserWarning, stacklevel=2)
         df = parse_date(self.table(name, geometry=geometry))
+        column = resolve_date_column(meta, df.columns)
         if start is not None or end is not None:
-            column = resolve_date_column(meta, df.columns)
             if column is None:
                 warnings.warn(f"start/end ignored: {name!r} has no date column",
                               UserWarning, stacklevel=2)
@@ -97,16 +102,16 @@ class Lake:
                 df = date_range(df, start, end, column=column)
         df = dimension_contains(df, dimensions, layout=meta.layout)
         if limit is not None and limit > 0:
-            return most_recent(df, limit, tie_break=tie_break)
-        return sort_by_date(df, tie_break=tie_break) if ordered else df
+            return most_recent(df, limit, date=column or "date", tie_break=tie_break)
+        return sort_by_date(df, column or "date", tie_break) if ordered else df
 
     def preview(self, name: str, limit: int = 10) -> DataFrame:
         return preview_rows(self.table(name), limit)
 
     def download(self, name: str, path: str, format: str = "parquet", *, start: str | None = None,
-                 end: str | None = None, limit: int | None = None) -> str:
+                 end: str | None = None, limit: int | None = None, tie_break: Sequence[str] = ()) -> str:
         """Write a filtered slice."""
-        return write_table(self.get(name, start, end, limit=limit), path, format)
+        return write_table(self.get(name, start, end, limit=limit, tie_break=tie_break), path, format)
 
     def download_bulk(self, name: str, path: str, format: str | None = None, *,
                       freshness: str = "current", root: str | None = None) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..model import ChangeColumns
 from ..operators.cdc import since as rows_since
 from ..operators.filters import from_source, without_geometry
+from .formats import CSV_READ, empty_texts
 
 FORMATS = ("parquet", "geoparquet", "csv", "csv_gz", "json", "orc")
 
@@ -25,13 +26,12 @@ def read_table(
     geometry: bool = True,
     source: str | None = None,
     spread: bool = False,
-    multi_line: bool = False,
 ) -> DataFrame:
     """A whole table.  GeoParquet keeps its geometry as WKB bytes.
 
     ``geometry=False`` leaves geometry columns out of the scan.  Text formats should be
-    given a ``schema``; without one a CSV is read twice to find its types.  A gzip file
-    is read by one task: ``spread=True`` rebalances its rows right after.
+    given a ``schema``; without one a CSV is read twice to find its types.  A CSV file is read by
+    one task, since its values may hold line breaks: ``spread=True`` rebalances its rows right after.
     """
     if format not in FORMATS:
         raise ValueError(f"unknown format {format!r}; expected one of {', '.join(FORMATS)}")
@@ -43,10 +43,7 @@ def read_table(
     elif format == "json":
         df = reader.json(path)
     else:
-        # Quoted line breaks need whole-file reading; gzip files are read whole anyway.
-        whole = multi_line or format == "csv_gz"
-        df = reader.csv(path, header=True, escape='"', multiLine=whole,
-                        inferSchema=schema is None, enforceSchema=False)
+        df = empty_texts(reader.options(**CSV_READ).csv(path, inferSchema=schema is None, enforceSchema=False))
     if not geometry:
         df = without_geometry(df)
     if spread:
@@ -88,7 +85,10 @@ def _payload(spark: SparkSession, path, schema: T.StructType | None) -> DataFram
 def _records(payload: DataFrame, schema: T.StructType | None) -> DataFrame:
     if schema is None:
         return _unwrapped(payload, "data")
-    bare = F.array(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]))
+    fields = [F.col(f"`{f.name}`") for f in schema.fields]
+    # A payload whose list is null has none of a record's own fields, so it gives no row.
+    is_record = reduce(lambda a, b: a | b, [c.isNotNull() for c in fields])
+    bare = F.when(is_record, F.array(F.struct(*fields)))
     return payload.select(F.inline(F.coalesce(F.col("data"), bare)))
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..plans.sizing import quoted
+from .formats import CSV_WRITE
 
 # File name endings of whole-table artefacts (fixed values).
 EXTENSIONS = {"parquet": ".parquet", "csv_gz": ".csv.gz", "geoparquet": ".geo.parquet",
@@ -16,10 +17,32 @@ _TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """NaN has no JSON or CSV form; it is written as a missing value."""
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({
-        c: F.when(~F.isnan(F.col(quoted(c))), F.col(quoted(c))) for c in floats}) if floats else df
+    """NaN has no JSON or CSV form; it is written as a missing value, inside nested values too."""
+    clean = {f.name: _without_nan(F.col(quoted(f.name)), f.dataType) for f in df.schema.fields if _holds_floats(f.dataType)}
+    return df.withColumns(clean) if clean else df
+
+
+def _holds_floats(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_floats(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _holds_floats(kind.valueType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_floats(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.DoubleType, T.FloatType))
+
+
+def _without_nan(value: Column, kind: T.DataType) -> Column:
+    if not _holds_floats(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _without_nan(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: _without_nan(x, kind.valueType))
+    if isinstance(kind, T.StructType):
+        fields = [_without_nan(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return F.when(~F.isnan(value), value)
 
 
 def write_table(df: DataFrame, path: str, format: str = "parquet", mode: str = "errorifexists") -> str:
@@ -33,9 +56,9 @@ def write_table(df: DataFrame, path: str, format: str = "parquet", mode: str = "
     if format in ("parquet", "geoparquet"):
         writer.option("compression", "snappy").parquet(path)
     elif format == "csv":
-        writer.csv(path, header=True, escape='"')
+        writer.options(**CSV_WRITE).csv(path)
     elif format == "csv_gz":
-        writer.csv(path, header=True, escape='"', compression="gzip")
+        writer.options(**CSV_WRITE).csv(path, compression="gzip")
     elif format == "json":
         writer.option("ignoreNullFields", False).json(path)
     elif format == "orc":

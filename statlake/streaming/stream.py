@@ -18,14 +18,14 @@ _UNITS = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
 
 
 def polling_interval(text: str) -> str:
-    """Trigger interval for ``30s``, ``15m``, ``6h``, ``1d``, ``hourly``, ``daily``, ``weekly``."""
+    """Trigger interval for plain seconds (``60``), ``30s``, ``15m``, ``6h``, ``1d``, ``hourly``, ``daily``, ``weekly``."""
     word = text.strip().lower()
     if word in _NAMED_INTERVALS:
         return _NAMED_INTERVALS[word]
-    match = re.fullmatch(r"(\d+)\s*([smhd])", word)
+    match = re.fullmatch(r"(\d+)\s*([smhd]?)", word)
     if not match or int(match[1]) == 0:
         raise ValueError(f"not a polling interval: {text!r}")
-    return f"{int(match[1])} {_UNITS[match[2]]}"
+    return f"{int(match[1])} {_UNITS[match[2] or 's']}"
 
 
 def read_feed_stream(spark: SparkSession, path: str, schema: T.StructType,

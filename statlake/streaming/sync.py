@@ -109,7 +109,7 @@ def write_baseline(
     return table.append(Commit(
         version, status, "changelog", rows.schema.json(), snapshot_id=snapshot_id,
         previous_snapshot_id=last.snapshot_id if last else None, previous_seq=previous_seq,
-        watermark_seq=watermark_seq, ops_applied=0, key=tuple(key), state_filter=state_filter,
+        watermark_seq=watermark_seq, baseline_seq=watermark_seq, ops_applied=0, key=tuple(key), state_filter=state_filter,
         bucket_by=tuple(bucket_by), bucket_count=bucket_count, buckets=buckets,
         rows_written=count, bytes_written=size))
 
@@ -133,25 +133,31 @@ def apply_changes(
     rows are not shuffled; otherwise both sides are, with skewed partitions split by AQE.
 
     ``batch`` names the micro-batch when the rows come from a stream, which hands over each
-    row once.  There a row at or before the cursor would mean that feed files arrived out of
-    sequence, and is an error instead of being passed over as already applied.
+    row once.  There rows that the table held before any stream are passed over, since a feed with a
+    history starts with them; a later row at or before the cursor would mean that feed files arrived out of
+    sequence, and is an error.  A row without a sequence number is an error too.
     """
     key = tuple(key or last.key)
     state_filter = state_filter or last.state_filter
     schema = last.struct
     check_feed(schema, changes.schema, key, names)
     changes = _aligned(changes, schema)
-    if batch is None:
-        changes = changes.filter(F.col(names.seq) > last.watermark_seq)
+    # What the table already held when a stream first came to it is passed over; a null stays, to be refused.
+    held = last.watermark_seq if batch is None else last.baseline_seq
+    if held is not None:
+        changes = changes.filter((F.col(names.seq) > held) | F.col(names.seq).isNull())
     number = bucket_number(changes.schema, last.bucket_by, last.bucket_count)
     any_null = F.greatest(*[F.col(quoted(k)).isNull().cast("int") for k in key], F.lit(0))
     facts = changes.agg(
         F.count(F.lit(1)).alias("n"), F.max(names.seq).alias("high"),
         F.count_if(F.col(names.seq) <= last.watermark_seq).alias("late"),
+        F.count_if(F.col(names.seq).isNull()).alias("unnumbered"),
         F.max(any_null).alias("nulls"),
         F.sum(row_bytes(changes.schema, list(key))).alias("key_bytes"),
         F.collect_set(number).alias("buckets"),  # at most bucket_count numbers
     ).first()
+    if facts["unnumbered"]:
+        raise SyncError(f"{facts['unnumbered']} feed rows have no sequence number")
     if facts["late"]:
         raise SyncError(f"feed rows at or before sequence {last.watermark_seq} arrived late")
     if facts["n"] == 0:
@@ -178,7 +184,8 @@ def apply_changes(
     commit = table.append(Commit(
         version, "updated", "changelog", schema.json(), snapshot_id=last.snapshot_id,
         previous_snapshot_id=last.snapshot_id, previous_seq=last.watermark_seq,
-        watermark_seq=facts["high"], ops_applied=facts["n"], key=key, state_filter=state_filter,
+        watermark_seq=facts["high"], baseline_seq=facts["high"] if batch is None else last.baseline_seq,
+        ops_applied=facts["n"], key=key, state_filter=state_filter,
         bucket_by=last.bucket_by, bucket_count=last.bucket_count,
         buckets={**untouched, **rewritten}, rows_written=count, bytes_written=size, batch=batch))
     return _result(table, commit)

@@ -21,12 +21,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..plans.sizing import quoted
+from ..sources.formats import CSV_READ, empty_texts
 
 BUCKET = "__bucket"
 
 LOG_SCHEMA = (
     "version long, status string, sync_mode string, format string, snapshot_id string, "
-    "previous_snapshot_id string, previous_seq long, watermark_seq long, ops_applied long, "
+    "previous_snapshot_id string, previous_seq long, watermark_seq long, baseline_seq long, ops_applied long, "
     "key array<string>, state_filter string, bucket_by array<string>, bucket_count int, "
     "buckets map<string,long>, schema string, rows_written long, bytes_written long, "
     "batch string, committed_at string")
@@ -45,6 +46,7 @@ class Commit:
     previous_snapshot_id: str | None = None
     previous_seq: int | None = None
     watermark_seq: int | None = None
+    baseline_seq: int | None = None  # the cursor of the last commit that no stream made
     ops_applied: int | None = None
     key: Sequence[str] = ()
     state_filter: str | None = None
@@ -111,7 +113,7 @@ class VersionedTable:
         if commit is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
         if commit.bucket_count is None:
-            return self._reader(commit).load(self.data_path(commit.version))
+            return self._loaded(commit, self.data_path(commit.version))
         wanted = commit.buckets.items()
         if buckets is not None:
             chosen = {str(b) for b in buckets}
@@ -124,19 +126,30 @@ class VersionedTable:
     def _reader(self, commit: Commit):
         reader = self.spark.read.schema(commit.struct)
         if commit.format in ("csv", "csv_gz"):
-            return reader.format("csv").options(header=True, escape='"',
-                                                multiLine=commit.format == "csv_gz")
-        return reader.format("json" if commit.format == "json" else "parquet")
+            return reader.format("csv").options(**CSV_READ)
+        return reader.format(commit.format if commit.format in ("json", "orc") else "parquet")
+
+    def _loaded(self, commit: Commit, path) -> DataFrame:
+        rows = self._reader(commit).load(path)
+        return empty_texts(rows) if commit.format in ("csv", "csv_gz") else rows
+
+    def _listed_bytes(self, path: str) -> int | None:
+        """Bytes of the data files under a path, from a listing; None if it is gone."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return None
+        listed, total = files.listFiles(folder, True), 0
+        while listed.hasNext():
+            file = listed.next()
+            if not file.getPath().getName().startswith(("_", ".")):
+                total += file.getLen()
+        return total
 
     def is_readable(self, commit: Commit) -> bool:
-        """False if the files of a commit are gone."""
-        try:
-            self.read(commit).limit(1).collect()
-            return True
-        except Exception as error:
-            if any(sign in str(error) for sign in ("PATH_NOT_FOUND", "FILE_NOT_EXIST")):
-                return False
-            raise
+        """Whether the files of an unbucketed commit hold as many bytes as were written; reads no data."""
+        return self._listed_bytes(self.data_path(commit.version)) == commit.bytes_written
 
     def written(self, version: int, schema: T.StructType, bucketed: bool,
                 format: str = "parquet") -> tuple[dict[str, int], int, int]:
@@ -145,13 +158,11 @@ class VersionedTable:
             schema = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
         probe = Commit(version, "", "", schema.json(), format=format)
         files = self._reader(probe).load(self.data_path(version)).select(
-            (F.col(BUCKET) if bucketed else F.lit(0)).cast("string").alias("bucket"),
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
-        per_file = files.groupBy("bucket", "file", "size").agg(F.count(F.lit(1)).alias("n"))
+            (F.col(BUCKET) if bucketed else F.lit(0)).cast("string").alias("bucket"))
         # At most one row per bucket comes back.
-        rows = per_file.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).collect()
+        rows = files.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()
         return ({r["bucket"]: version for r in rows} if bucketed else {},
-                sum(r["n"] for r in rows), sum(r["size"] for r in rows))
+                sum(r["n"] for r in rows), self._listed_bytes(self.data_path(version)) or 0)
 
     def append(self, commit: Commit) -> Commit:
         """Make a written version the current one: one small file, visible as a whole or not at all."""

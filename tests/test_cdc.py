@@ -70,8 +70,7 @@ def test_several_changes_of_one_key_in_a_batch(spark, rows):
     assert rows(merge_changes(state, changes, ["id"], keep="latest")) == [(1, "c")]
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_null_and_nan_keys_match(spark, rows, broadcast):
+def test_null_and_nan_keys_match(spark, rows):
     nan = float("nan")
     state = spark.createDataFrame(
         [(None, 1.0, "a"), ("x", None, "b"), ("x", nan, "c"), ("y", 0.0, "d")], "k string, n double, val string")
@@ -79,7 +78,7 @@ def test_null_and_nan_keys_match(spark, rows, broadcast):
                    [("D", None, 1.0, ""), ("D", "x", None, ""), ("U", "x", nan, "c2"), ("D", "y", -0.0, "")])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        merged = merge_changes(state, changes, ["k", "n"], broadcast_keys=broadcast)
+        merged = merge_changes(state, changes, ["k", "n"])
         assert [r["val"] for r in merged.collect()] == ["c2"]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statlake import (
-    Layout, TableMeta, current_state, date_range, dimension_contains, from_source,
+    Layout, TableMeta, current_state, date_range, dimension_contains, from_publisher, from_source,
     resolve_date_column, without_geometry,
 )
 
@@ -13,7 +13,8 @@ from statlake import (
 def test_source_is_exact_and_unknown_gives_nothing(spark, rows):
     df = spark.createDataFrame([("a", "Stats NZ"), ("b", "stats nz"), ("c", None)], "name string, source string")
     assert rows(from_source(df, "Stats NZ")) == [("a", "Stats NZ")]
-    assert rows(from_source(df, "statsnz")) == [("a", "Stats NZ")]
+    assert rows(from_source(df, "statsnz")) == []
+    assert rows(from_publisher(df, "statsnz")) == rows(from_publisher(df, "Stats NZ")) == [("a", "Stats NZ")]
     assert rows(from_source(df, "Nobody")) == []
     assert len(rows(from_source(df, None))) == 3
 

@@ -5,6 +5,7 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
+from statlake.operators.cdc import without_keys
 from statlake import (
     Layout, VersionedTable, date_range, dimension_contains, envelope, latest_per_key, merge_changes,
     most_recent, read_table, search_rows, sync_changelog, to_long, to_wide, within_bbox, without_geometry,
@@ -98,7 +99,7 @@ def test_wide_is_one_shuffle_with_partial_aggregation(spark, stored):
 def test_merge_broadcasts_small_keys_and_moves_no_state(spark, stored):
     state = read_table(spark, stored).select("id", "area")
     feed = spark.createDataFrame([(1, "U", 1, "x")], "_seq long, _op string, id long, area string")
-    text = plan(merge_changes(state, feed, ["id"], broadcast_keys=True))
+    text = plan(without_keys(state, feed, ["id"], broadcast=True))
     anti = text[text.index("BroadcastHashJoin"):]
     assert "LeftAnti" in anti and "Exchange" not in anti[:anti.index("FileScan")]
 

@@ -65,7 +65,7 @@ def messy(spark):
 @pytest.mark.parametrize("format", ["parquet", "geoparquet", "csv", "csv_gz", "json", "orc"])
 def test_round_trip(spark, tmp_path, messy, format):
     path = write_table(messy, str(tmp_path / "out"), format)
-    assert same_rows(read_table(spark, path, format, schema=messy.schema, multi_line=True, spread=True), messy)
+    assert same_rows(read_table(spark, path, format, schema=messy.schema, spread=True), messy)
 
 
 @pytest.mark.parametrize("format", ["csv", "json"])

@@ -337,7 +337,7 @@ def test_polling_intervals(text, interval):
     assert polling_interval(text) == interval
 
 
-@pytest.mark.parametrize("text", ["", "0s", "5", "5w", "-1h", "monthly"])
+@pytest.mark.parametrize("text", ["", "0s", "0", "5w", "-1h", "monthly"])
 def test_bad_polling_intervals(text):
     with pytest.raises(ValueError):
         polling_interval(text)
