@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from statlake import envelope, within_bbox
@@ -6,7 +7,7 @@ SHAPES = [
     ("POINT(1 2)", (1, 2, 1, 2)), ("point z (1 2 3)", (1, 2, 1, 2)), ("POINT ZM (1 2 3 4)", (1, 2, 1, 2)),
     ("MULTIPOINT ((1 2),(3 4))", (1, 2, 3, 4)), ("LINESTRING (174.5 -41.25, 1e2 -4.5E1)", (100, -45, 174.5, -41.25)),
     ("SRID=4326;POLYGON ((0 0, 4 0, 4 4, 0 0),(1 1, 2 1, 2 2, 1 1))", (0, 0, 4, 4)),
-    ("MULTIPOLYGON (((.5 5., 1 0)), ((9 9, 8 8)))", (0.5, 0, 9, 9)),
+    ("MULTIPOLYGON (((.5 5., 1 0, 1 5, .5 5.)), ((9 9, 8 8, 9 8, 9 9)))", (0.5, 0, 9, 9)),
     ("GEOMETRYCOLLECTION (POINT (1 2), LINESTRING (3 4, 5 -6))", (1, -6, 5, 4)),
     ("POINT EMPTY", None), ("", None), ("  ", None), (None, None), ("circle (1 2)", None), ("POINT (1)", None),
     ("POINT (1 e)", None), ("LINESTRING (1 2, x y)", None), ("LINESTRING (1 2, 3 4 oops)", None),
@@ -33,3 +34,13 @@ def test_large_polygon(spark):
     ring = F.concat_ws(", ", F.transform(F.sequence(F.lit(0), F.lit(50_000)), lambda i: F.concat_ws(" ", i, -i)))
     df = spark.range(2).select(F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("geometry_wkt"))
     assert [tuple(r) for r in envelope(df).drop("geometry_wkt").distinct().collect()] == [(0, -50_000, 50_000, 0)]
+
+
+@pytest.mark.parametrize("text, box", [
+    ("GEOMETRYCOLLECTION (POINT EMPTY, POINT (1 2))", (1, 2, 1, 2)), ("MULTIPOINT (EMPTY, (3 4))", (3, 4, 3, 4)),
+    ("MULTIPOLYGON (((0 0,2 0,2 2,0 0),(0 0,1 0,1 1,0 0)), EMPTY)", (0, 0, 2, 2)), ("LINEARRING (0 0, 1 0, 1 1, 0 0)", (0, 0, 1, 1)),
+    ("POLYGON ((0 0, 1 0, 1 1, 0 1))", None), ("POLYGON ((0 0, 1 0, 0 0))", None), ("GEOMETRYCOLLECTION (POINT EMPTY)", None),
+    ("POINT (1 2 junk)", None), ("LINESTRING (1 2,\n3 4)", (1, 2, 3, 4)), ("POINT (1,2)", None)])
+def test_members_rings_and_line_breaks(spark, text, box):
+    row = envelope(spark.createDataFrame([(text,)], "geometry_wkt string")).first()
+    assert tuple(row)[1:] == (box or (None,) * 4)
