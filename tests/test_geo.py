@@ -32,7 +32,7 @@ def test_bbox_is_containment(spark):
 
 def test_large_polygon(spark):
     ring = F.concat_ws(", ", F.transform(F.sequence(F.lit(0), F.lit(50_000)), lambda i: F.concat_ws(" ", i, -i)))
-    df = spark.range(2).select(F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("geometry_wkt"))
+    df = spark.range(2).select(F.concat(F.lit("POLYGON (("), ring, F.lit(", 0 0))")).alias("geometry_wkt"))
     assert [tuple(r) for r in envelope(df).drop("geometry_wkt").distinct().collect()] == [(0, -50_000, 50_000, 0)]
 
 
