@@ -19,7 +19,6 @@ Rows that repeat an id are vectors of their own with that id.  An empty table gi
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -28,12 +27,12 @@ from .common import mixed
 from .components import components
 
 COSINE = 0.95
-TREES = 3
-LEAF = 512
+TREES = 5
+LEAF = 1024
 LEVELS = 4
 SAMPLE = 1024
 # Spill margin, in standard deviations of what the projections of two vectors at the least cosine differ by.
-SPILL = 1.0
+SPILL = 0.5
 TILE = 2048
 _SEED = 20240607
 
@@ -48,9 +47,10 @@ def _directions(node: int, dim: int) -> np.ndarray:
     return made / np.linalg.norm(made, axis=1, keepdims=True)
 
 
-def _units(vectors) -> np.ndarray:
-    values = np.array(list(vectors), np.float64)
-    values /= np.abs(values).max(1, keepdims=True)  # so that neither huge nor tiny components overflow
+def _units(lists: pa.Array) -> np.ndarray:
+    """Unit vectors of a column of lists of one length."""
+    values = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(lists), -1)
+    values = values / np.abs(values).max(1, keepdims=True)  # so that neither huge nor tiny components overflow
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
@@ -68,13 +68,13 @@ def _cut(here: np.ndarray, margin: float) -> float:
     return float(cuts[best]) if work[best] < 0.9 else float("nan")
 
 
-def fit(node: int, units: np.ndarray, margin: float) -> np.ndarray:
-    """Cuts of a node's subtree, from a sample of its unit vectors."""
+def fit(node: int, units: np.ndarray, margin: float, levels: int = LEVELS) -> np.ndarray:
+    """Cuts of a node's subtree, from a sample of its unit vectors; none below ``levels`` levels."""
     projected = units @ _directions(node, units.shape[1]).T
     cuts, places = np.zeros(projected.shape[1]), np.zeros(len(units), np.int64)
     for inner in range(len(cuts)):
         mine = places == inner
-        cuts[inner] = _cut(projected[mine, inner], margin)
+        cuts[inner] = _cut(projected[mine, inner], margin) if inner + 1 < 1 << levels else float("nan")
         places[mine] = 2 * inner + 1 + (projected[mine, inner] > cuts[inner])
     return cuts
 
@@ -94,10 +94,12 @@ def _margin(dim: int, cosine: float) -> float:
     return SPILL * np.sqrt(2 - 2 * cosine) / np.sqrt(dim)
 
 
-def _fits(frame: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    node, units = int(frame["node"].iloc[0]), _units(frame["v"])
-    cuts = fit(node, units, _margin(units.shape[1], cosine))
-    return pd.DataFrame({"node": [node], "cuts": [cuts.astype("<f8").tobytes()]})
+def _fits(table: pa.Table, cosine: float, leaf: int) -> pa.Table:
+    node, size = table.column("node")[0].as_py(), table.column("size")[0].as_py()
+    units = _units(table.column("v").combine_chunks())
+    levels = min(LEVELS, max(1, int(np.ceil(np.log2(size / leaf)))))
+    cuts = fit(node, units, _margin(units.shape[1], cosine), levels)
+    return pa.table({"node": pa.array([node], pa.int64()), "cuts": pa.array([cuts.astype("<f8").tobytes()])})
 
 
 def forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, cosine: float = COSINE) -> DataFrame:
@@ -111,7 +113,7 @@ def forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int
             nodes = batch.column(2).to_numpy()
             for node in np.unique(nodes):
                 mine = batch.take(pa.array(np.flatnonzero(nodes == node)))
-                units = _units(mine.column(1).to_pylist())
+                units = _units(mine.column(1))
                 cuts = np.frombuffer(mine.column(4)[0].as_py(), "<f8")
                 at, places = route(int(node), units, cuts, _margin(units.shape[1], cosine))
                 children = np.array([_child(int(node), place) for place in range(1 << LEVELS)], np.int64)
@@ -131,9 +133,10 @@ def forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int
                 leaves = leaves.unionByName(more)
             return leaves
         among = Window.partitionBy("node").orderBy(F.xxhash64("id", "node"), "id")
-        chosen = (rows.join(large.select("node"), "node").withColumn("place", F.row_number().over(among))
-                  .where(F.col("place") <= sample).select("node", "v"))
-        cuts = cut_lineage(chosen.groupBy("node").applyInPandas(lambda frame: _fits(frame, cosine), "node long, cuts binary"), "cuts")
+        chosen = (rows.join(large, "node").withColumn("place", F.row_number().over(among))
+                  .where(F.col("place") <= sample).select("node", "size", "v"))
+        cuts = cut_lineage(chosen.groupBy("node").applyInArrow(lambda table: _fits(table, cosine, leaf), "node long, cuts binary"),
+                           "cuts")
         kind = rows.schema["v"].dataType.simpleString()
         rows = (rows.drop("was").join(large, "node").join(cuts, "node")
                 .select("id", "v", "node", F.col("size").alias("was"), "cuts")
@@ -172,17 +175,17 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = least
 
 
-def linked_in_tile(frame: pd.DataFrame, cosine: float) -> pd.DataFrame:
+def linked_in_tile(table: pa.Table, cosine: float) -> pa.Table:
     """One row per vector with a link: how many other vectors it is linked with here first, and the
     smallest id it hangs together with."""
-    frame = frame.sort_values("id", ignore_index=True)
-    node, first, second = (int(frame[c].iloc[0]) for c in ("node", "first", "second"))
-    units, tiles, n = _units(frame["v"]), frame["tile"].to_numpy(), len(frame)
-    ids, copies = frame["id"].to_numpy(), frame["copies"].to_numpy()
-    width = max(map(len, frame["leaves"]))
-    leaves = np.full((n, width), _NO_LEAF, np.int64)
-    for row, mine in enumerate(frame["leaves"]):
-        leaves[row, :len(mine)] = mine
+    table = table.sort_by("id").combine_chunks()
+    node, first, second = (table.column(c)[0].as_py() for c in ("node", "first", "second"))
+    units, tiles, n = _units(table.column("v").chunk(0)), table.column("tile").to_numpy(), len(table)
+    ids, copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
+    lists = table.column("leaves").chunk(0)
+    lengths = np.diff(lists.offsets.to_numpy())
+    leaves = np.full((n, lengths.max()), _NO_LEAF, np.int64)
+    leaves[np.arange(leaves.shape[1]) < lengths[:, None]] = lists.flatten().to_numpy()
     a, b = [], []
     for at in range(0, n, 512):
         close = units[at:at + 512] @ units.T >= cosine
@@ -199,7 +202,7 @@ def linked_in_tile(frame: pd.DataFrame, cosine: float) -> pd.DataFrame:
     np.add.at(links, a[new], copies[b[new]])
     np.add.at(links, b[new], copies[a[new]])
     roots, some = _roots(n, a, b), np.union1d(a, b)
-    return pd.DataFrame({"id": ids[some], "links": links[some], "root": ids[roots[some]]})
+    return pa.table({"id": ids[some], "links": links[some], "root": ids[roots[some]]})
 
 
 def near_duplicates(df: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF, tile: int = TILE,
@@ -240,7 +243,7 @@ def _linked(classes, cosine, trees, leaf, tile):
     linked = cut_lineage(
         spread.select("id", "node", "v", "copies", "leaves", "tile", "first", "second")
         .groupBy("node", "first", "second")
-        .applyInPandas(lambda frame: linked_in_tile(frame, cosine), "id long, links long, root long"), "links")
+        .applyInArrow(lambda table: linked_in_tile(table, cosine), "id long, links long, root long"), "links")
     joined = components(linked.select(F.col("id").alias("u"), F.col("root").alias("v")))
     counts = linked.groupBy("id").agg(F.sum("links").alias("links"))
     named = (classes.select("id", "digest", "least", "copies").join(counts, "id", "left")
