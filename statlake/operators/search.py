@@ -46,12 +46,12 @@ def search_rows(
     searched = list(columns)
     if (query or "").strip().lower() not in name_only:
         searched += list(long_columns)
-    hits = []
-    for c in searched:
-        if c in out.columns:
-            text = F.lower(F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")))
-            hits += [F.contains(text, F.lit(n)) for n in needles]
-    return out.filter(reduce(lambda a, b: a | b, hits, F.lit(False)))
+    # Each text is put in lower case once, however many needles it is searched for.
+    texts = [F.lower(F.coalesce(F.col(quoted(c)).cast("string"), F.lit(""))) for c in searched if c in out.columns]
+    if not texts:
+        return out.limit(0)
+    return out.filter(F.exists(F.array(*texts), lambda t: reduce(
+        lambda x, y: x | y, [F.contains(t, F.lit(n)) for n in needles])))
 
 
 def ranked(

@@ -15,7 +15,7 @@ from ..operators.filters import date_range, dimension_contains, from_publisher,
 from ..operators.limits import most_recent, preview as preview_rows, sort_by_date
 from ..operators.reshape import to_long, to_wide
 from ..operators.search import search_catalog
-from ..sources.readers import parse_date, read_changes, read_table
+from ..sources.readers import parse_date, read_changes, read_floor, read_table
 from ..sources.writers import write_table
 from ..streaming.sync import sync as sync_table
 from ..streaming.versions import VersionedTable
@@ -146,6 +146,8 @@ class Lake:
         if row.get("feed_path"):
             feed = read_changes(self.spark, row["feed_path"], names=self.names)
         if TableMeta.of(row).get("cdc_serving_tier") == "changelog":
-            options = {"state_filter": row.get("current_state_filter"), "names": self.names, **options}
+            floor = read_floor(self.spark, row["feed_path"]) if row.get("feed_path") else None
+            options = {"state_filter": row.get("current_state_filter"), "names": self.names,
+                       "retention_floor": floor, **options}
         return sync_table(self.spark, root, TableMeta.of(row), lambda: self.table(name), feed,
                           format=format, force=force, **options)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..model import ChangeColumns
@@ -131,6 +132,17 @@ def read_changes(
                       since, upto, names)
 
 
+def read_floor(spark: SparkSession, path: str) -> int | None:
+    """The lowest sequence number a feed still holds, which its publisher keeps in ``<feed>.floor``; None if it says none."""
+    try:
+        row = spark.read.text(path.rstrip("/") + ".floor").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return int(row[0]) if row is not None and row[0].strip() else None
+
+
 def union_pages(pages: list[DataFrame]) -> DataFrame:
     """Pages one after another, matched by column name; missing columns become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)

@@ -94,12 +94,30 @@ class VersionedTable:
 
     def commit(self, version: int | None = None) -> Commit | None:
         """The commit of a version, by default the latest; None if there is none."""
-        rows = self.log()
-        if version is not None:
-            rows = rows.filter(F.col("version") == version)
+        if version is None:
+            newest = self._newest_log_files()
+            if not newest:
+                return None
+            rows = self.spark.read.schema(LOG_SCHEMA).json(newest)
+        else:
+            rows = self.log().filter(F.col("version") == version)
         found = rows.orderBy(F.col("version").desc(), F.col("committed_at").desc()).limit(1).collect()
         return Commit(**found[0].asDict(recursive=True)) if found else None
 
+    def _newest_log_files(self, most: int = 4) -> list[str]:
+        """The last few log files by their time, so that finding the latest commit does not read the whole log.
+
+        There is one writer and one file per commit; a few are read because times may be equal.
+        """
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.log_path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        found = [(s.getModificationTime(), s.getPath().toString()) for s in files.listStatus(folder)
+                 if s.isFile() and s.getPath().getName().startswith("part-")]
+        return [path for _, path in sorted(found)[-most:]]
+
     def version_before(self, moment: datetime) -> Commit | None:
         """The last commit made before a moment."""
         stamp = moment.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")

@@ -146,3 +146,27 @@ def test_text_that_is_no_date(spark):
 
 def test_plain_seconds():
     assert polling_interval("60") == "60 seconds"
+
+
+def test_the_latest_commit_is_found_in_a_few_log_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for i in range(7):
+        sync_snapshot(spark, root, spark.range(i + 1), f"s{i}")
+    table = VersionedTable(spark, root)
+    assert table.commit().version == 7 and table.commit(2).snapshot_id == "s1" and len(table._newest_log_files()) == 4
+
+
+def test_a_truncated_feed_is_noticed_by_its_floor(spark, tmp_path):
+    from statlake import Lake
+    data, feed, root = (str(tmp_path / n) for n in ("data", "feed", "copy"))
+    spark.createDataFrame([(1, "a")], "k long, v string").write.parquet(data)
+    _feed(spark, [(1, "I", 1, "a")]).write.parquet(feed)
+    listing = spark.createDataFrame([("t", data, feed, "changelog", ["k"], "s")],
+                                    "name string, path string, feed_path string, cdc_serving_tier string, pk_columns array<string>, current_snapshot_id string")
+    lake = Lake(spark, listing)
+    lake.sync("t", root, bucket_count=2)
+    spark.createDataFrame([(1, "later")], "k long, v string").write.mode("overwrite").parquet(data)
+    _feed(spark, [(9, "I", 5, "z")]).write.mode("overwrite").parquet(feed)
+    (tmp_path / "feed.floor").write_text("9")
+    assert lake.sync("t", root, bucket_count=2).status == "updated"
+    assert [tuple(r) for r in VersionedTable(spark, root).read().select("k", "v").collect()] == [(1, "later")]
