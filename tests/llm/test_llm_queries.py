@@ -87,3 +87,18 @@ def test_the_entry_does_without_the_subpackage(tmp_path):
     done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"],
                           cwd=tmp_path, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""})
     assert done.returncode == 0 and done.stdout.split()[0] == done.stdout.split()[1], done.stderr
+
+
+@pytest.mark.parametrize("rows", ["awkward", "none"])
+def test_stages_take_awkward_documents(spark, rows):
+    from llm_rows import ROWS
+    docs = spark.createDataFrame([(i, t, x, None, None) for i, t, x in ROWS] if rows == "awkward" else [],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", "'x' AS toxicity", "1 AS language", "2 AS own_cid", "3 AS sequence_id")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "toxicity", "language", "own_cid", "sequence_id"]
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    # Texts without a letter go, of the two equal rows one stays.
+    assert sorted({r.doc_id or 0 for r in packed}) == ([0, 1, 4, 5, 6, 8] if rows == "awkward" else [])
+    assert sum(r.doc_id == 5 and r.start == 0 for r in packed) == (1 if rows == "awkward" else 0)
