@@ -42,10 +42,16 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row_bytes(df.schema)).alias("b")).first()["b"] or 0
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """What the planner expects ``df`` to take: file sizes, carried through the plan.  Runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """``df`` marked for broadcast if it measures below ``limit``, else as it is.
 
-    Unmarked, the join is planned by Catalyst and AQE (shuffled, skew split).  Measuring reads
-    ``df`` once more: give a written table (``cut_lineage``) if it is costly to compute.
+    Unmarked, the join is planned by Catalyst and AQE (shuffled, skew split).  Only what the planner already expects to be
+    small is measured, which reads ``df`` once more: give a written table (``cut_lineage``) if it is costly to compute.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    small = estimated_bytes(df) <= limit and measured_bytes(df) <= limit
+    return F.broadcast(df) if small else df

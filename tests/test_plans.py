@@ -72,7 +72,7 @@ def test_narrow_operators_neither_shuffle_nor_use_python(spark, stored, build):
 def test_box_filter_searches_the_text_once(spark, stored):
     text = plan(within_bbox(read_table(spark, stored), 0, 0, 1, 1).select("id"))
     filters = [line for line in text.splitlines() if "Filter exists" in line]
-    assert len(filters) == 1 and filters[0].count("regexp_extract_all") == 2  # x and y
+    assert len(filters) == 1 and filters[0].count("regexp_extract_all") == 1
 
 
 def test_most_recent_is_a_top_k(spark, stored):
