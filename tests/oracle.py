@@ -9,6 +9,7 @@ import datetime
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 from decimal import Decimal
@@ -76,7 +77,8 @@ def main(argv):
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="statlake-oracle-")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = duck(sf), 0
     oracles = entry.oracle_sql()
