@@ -47,7 +47,8 @@ def encoded(texts: list[str], path: str, end_id: int):
     """``(index, ids with the end id)`` of each text, as little-endian unsigned 32-bit integers."""
     encoder = word_bpe(path)
     for first, last in batches_of(texts):
-        ids, counts = encoder.encode(texts[first:last])
+        # A very long text alone is encoded part by part.
+        ids, counts = encoder.encode_long(texts[first], TEXTS_AT_ONCE) if last == first + 1 else encoder.encode(texts[first:last])
         ids = ids.astype("<u4")
         ends = np.cumsum(counts)
         for i, (end, count) in enumerate(zip(ends, counts)):

@@ -123,6 +123,20 @@ class WordBpe:
         return ids, _sums(_sums(per_piece, per_word), counts)
 
 
+    def encode_long(self, text: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode`` of one text, holding the words of about ``most`` characters at a time."""
+        if self.pattern is None or len(text) <= most:
+            return self.encode([text])
+        parts, at = [], 0
+        while at < len(text):
+            end = text.find(" ", at + most)  # no token spans a blank
+            end = len(text) if end < 0 else end
+            parts.append(self.encode([text[at:end]])[0])
+            at = end + 1
+        ids = np.concatenate(parts)
+        return ids, np.array([len(ids)])
+
+
 def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sum of each run of values."""
     total = np.concatenate([[0], np.cumsum(values)])

@@ -36,6 +36,14 @@ def test_words_encoded_once_give_the_library_s_ids(plain):
             assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain(t, 0)[:-1] for t in part]
 
 
+@pytest.mark.parametrize("most", [1, 7, 50, 10**6])
+def test_long_texts_are_encoded_in_parts(plain, most):
+    encoder = WordBpe(WORDS)
+    for text in [*EDGES, "one two  three " * 20, "x" * 300]:
+        ids, counts = encoder.encode_long(text, most)
+        assert list(ids) == plain(text, 0)[:-1] and counts.tolist() == [len(ids)]
+
+
 def test_a_tokenizer_that_keeps_blanks_gets_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = Tokenizer.from_file(path)
