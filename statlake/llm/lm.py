@@ -33,7 +33,7 @@ SUFFIX_SPLIT = 4  # parts of the highest order for each of these
 LEAST_PARTS = 16
 TOKENS_AT_ONCE = 4_000_000  # counted together inside a task
 SCORED_AT_ONCE = 400_000
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
 
 _BIG = 255  # counts from here on are kept apart in the highest order
 _ROW = "n int, part int, kind string, columns array<binary>, note string"

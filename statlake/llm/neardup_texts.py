@@ -37,7 +37,7 @@ PICKED = 3
 PARITY_BYTES = 128
 TILE = 2048
 BIN_ROWS = 4096
-KEPT_WORDS = 600_000
+KEPT_WORDS = 150_000
 _AT_ONCE = 1 << 20  # hash values looked at together for one text
 
 _seeds = np.random.default_rng(20190606)

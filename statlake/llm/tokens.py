@@ -14,7 +14,7 @@ from itertools import chain
 
 import numpy as np
 
-KEPT_WORDS = 600_000
+KEPT_WORDS = 250_000
 
 
 class _Numbers(dict):

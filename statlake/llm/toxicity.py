@@ -36,7 +36,7 @@ SHORTEST_STEM, LONGEST_STEM = 3, 7
 PURE = 0.98  # share of a word's evidence from toxic texts that makes it an insult wherever it stands
 LIKELY = 0.6  # share that makes it a likely insult, which counts by how often it comes
 REACH = 3  # words over which a negation or a threat reaches
-KEPT_WORDS = 500_000
+KEPT_WORDS = 100_000
 
 # Function words of the grammar in four languages.
 NEGATIONS = "not no never isn't aren't wasn't don't doesn't ne pas jamais nicht kein keine nie nunca jamás ni".split()
