@@ -10,12 +10,22 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from itertools import chain
 
 import numpy as np
 
 KEPT_WORDS = 500_000
 
+_SPACE = re.compile(r"\s")
+
+
+def _keeps_words(normaliser: dict | None) -> bool:
+    """Whether words without white space come out of it one for one, also when joined by blanks."""
+    steps = (normaliser or {}).get("normalizers") or [normaliser or {}]
+    return all(x.get("type") in ("NFC", "Lowercase")
+               or x.get("type") == "Replace" and x.get("pattern") == {"Regex": "\\s+"} and x.get("content") == " " for x in steps)
+
 
 class _Numbers(dict):
     """Numbers words in the order in which they are first asked for."""
@@ -64,6 +74,7 @@ class WordBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         spec = json.loads(self.tokenizer.to_str())
+        self.joins = _keeps_words(spec.get("normalizer"))
         suffix = spec["model"].get("end_of_word_suffix")
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         first = steps[0]
@@ -89,13 +100,26 @@ class WordBpe:
         rows = [np.asarray(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         return np.concatenate(rows) if rows else np.empty(0, np.int32), np.array([len(r) for r in rows], np.int64)
 
+    def _normalised(self, words: list[str]) -> list[str]:
+        """Each word as the normaliser leaves it; only words without white space are joined, as any other may add or lose blanks."""
+        if not self.tokenizer.normalizer:
+            return words
+        alone = self.tokenizer.normalizer.normalize_str
+        if not self.joins:
+            return list(map(alone, words))
+        plain = [w for w in words if not _SPACE.search(w)] if _SPACE.search("".join(words)) else words
+        split = alone(" ".join(plain)).split(" ") if plain else []
+        if len(split) != len(plain):  # the normaliser moved a blank: one word at a time
+            return list(map(alone, words))
+        if plain is words:
+            return split
+        rest = iter(split)
+        return [alone(w) if _SPACE.search(w) else next(rest) for w in words]
+
     def _learn(self) -> None:
         """Encode the words first seen in this batch."""
         words, self.words.new = self.words.new, []
-        joined = self.tokenizer.normalizer.normalize_str(" ".join(words)) if self.tokenizer.normalizer else " ".join(words)
-        split = joined.split(" ")
-        if len(split) != len(words):  # the normaliser moved a blank: one word at a time
-            split = [self.tokenizer.normalizer.normalize_str(w) for w in words]
+        split = self._normalised(words)
         found = [self.pattern.findall(w) for w in split]
         numbers = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(found)), np.int32)
         self.word_pieces.append(numbers, np.fromiter(map(len, found), np.int64, len(found)))

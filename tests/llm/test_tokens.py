@@ -36,6 +36,15 @@ def test_words_encoded_once_give_the_library_s_ids(plain):
             assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain(t, 0)[:-1] for t in part]
 
 
+@pytest.mark.parametrize("blank", ["\r", "\t", "\xa0", "\x85", "\u2003", "\u3000", "\x0b\x0c"])
+def test_words_of_white_space_do_not_shift_their_neighbours(plain, blank):
+    encoder = WordBpe(WORDS)
+    texts = [f"first {blank} second third col{blank}val end", f"first second third end {blank}", f"x{blank}y third", blank, "second"]
+    for part in (texts[:1], texts):
+        ids, counts = encoder.encode(part)
+        assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain(t, 0)[:-1] for t in part]
+
+
 @pytest.mark.parametrize("most", [1, 7, 50, 10**6])
 def test_long_texts_are_encoded_in_parts(plain, most):
     encoder = WordBpe(WORDS)
