@@ -23,7 +23,7 @@ def op1_extendible_shards(spark, sf):
 def op2_kneser_ney(spark, sf):
     """Log10 probability of all documents, learned from six of seven folds."""
     docs = table(spark, sf, "documents").select("doc_id", "text", held_out("doc_id", 7, 2).alias("held_out"))
-    model = lm.train(docs.where(~F.col("held_out")))
+    model = lm.train(docs.where(~F.col("held_out")), order=3)
     return lm.score_texts(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 

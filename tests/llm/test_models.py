@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_rows import LONG, ROWS
-from statlake.llm import langid, lm, sharding, toxicity
+from statlake.llm import langid, lm, queries, sharding, toxicity
 from statlake.llm.common import fold, held_out
 
 SF = "/root/testdata/sf0.001"
@@ -86,6 +86,16 @@ def test_probabilities_sum_to_one():
         assert sum(plain.p(context, w) for w in [*known, "<unknown>"]) == pytest.approx(1)
 
 
+def test_the_query_looks_back_two_words(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", held_out("doc_id", 7, 2).alias("held_out")).collect()
+    plain = Plain([r.text for r in rows if not r.held_out], 3)
+    texts = {r.doc_id: r.text for r in rows}
+    got = queries.op2_kneser_ney(spark, SF).collect()
+    assert len(got) == len(rows)
+    for r in got[::10]:
+        assert r.score == pytest.approx(plain.score(texts[r.doc_id]))
+
+
 def test_nothing_to_learn_from(spark, documents):
     model = lm.train(documents([]))
     r = lm.score_texts(documents([(1, "some words", "en")]), model).first()
