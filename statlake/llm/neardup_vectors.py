@@ -102,6 +102,17 @@ def _fits(table: pa.Table, cosine: float, leaf: int) -> pa.Table:
     return pa.table({"node": pa.array([node], pa.int64()), "cuts": pa.array([cuts.astype("<f8").tobytes()])})
 
 
+def _drawn(rows: DataFrame, sample: int) -> DataFrame:
+    """About twice ``sample`` rows of each node, those with the lowest hashes."""
+    # Spark ranks before the shuffle only up to a limit below the sample's size, so whole nodes must not get there.
+    return rows.where(F.xxhash64("id", "node").cast("double") <= F.lit(-2.0 ** 63) + F.lit(2.0 ** 65 * sample) / F.col("size"))
+
+
+def _sampled(rows: DataFrame, sample: int) -> DataFrame:
+    among = Window.partitionBy("node").orderBy(F.xxhash64("id", "node"), "id")
+    return _drawn(rows, sample).withColumn("place", F.row_number().over(among)).where(F.col("place") <= sample)
+
+
 def forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, cosine: float = COSINE) -> DataFrame:
     """``id, node, size, v``: the leaves of all trees, a row for each vector and leaf.  Reads ``id, v``."""
     roots = F.array(*[F.xxhash64(F.lit(tree), F.size("v")) for tree in range(trees)])
@@ -132,9 +143,7 @@ def forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int
             for more in done[1:]:
                 leaves = leaves.unionByName(more)
             return leaves
-        among = Window.partitionBy("node").orderBy(F.xxhash64("id", "node"), "id")
-        chosen = (rows.join(large, "node").withColumn("place", F.row_number().over(among))
-                  .where(F.col("place") <= sample).select("node", "size", "v"))
+        chosen = _sampled(rows.join(large, "node"), sample).select("node", "size", "v")
         cuts = cut_lineage(chosen.groupBy("node").applyInArrow(lambda table: _fits(table, cosine, leaf), "node long, cuts binary"),
                            "cuts")
         kind = rows.schema["v"].dataType.simpleString()

@@ -78,6 +78,18 @@ def test_a_close_cluster_is_not_split_for_ever(spark):
     assert {(r.n_links, r.component_id) for r in got} == {(199, 0)}
 
 
+def test_a_node_s_sample_is_drawn_before_it_is_ranked(spark):
+    rows = spark.range(40_000).select("id", F.when(F.col("id") < 30_000, 1).when(F.col("id") < 39_900, 2).otherwise(3).cast("long").alias("node"))
+    rows = rows.join(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")), "node")
+    ranked = {r.node: r["count"] for r in vectors._drawn(rows, 1024).groupBy("node").count().collect()}
+    assert 1024 <= ranked[1] < 3000 and 1024 <= ranked[2] < 3000 and ranked[3] == 100
+    best = {}
+    for r in rows.select("id", "node", F.xxhash64("id", "node").alias("draw")).collect():
+        best.setdefault(r.node, []).append((r.draw, r.id))
+    want = {(node, i) for node, all_ in best.items() for _, i in sorted(all_)[:1024]}
+    assert {(r.node, r.id) for r in vectors._sampled(rows, 1024).select("node", "id").collect()} == want
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], VECTOR)
     assert vectors.near_duplicates(empty).count() == 0 and topk.top_k(empty, F.col("vec_id") % 20 == 0).count() == 0
