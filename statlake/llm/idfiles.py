@@ -7,7 +7,8 @@ type) and a footer, so a reader can go straight to any block::
 
     magic | planes of block 0 | planes of block 1 | ... | index | document table | lengths | magic
 
-``write_ids`` sorts documents by key over the whole cluster and lets each task write one file;
+``write_ids`` sorts documents by key over the whole cluster and lets each task write one file, of which there are more
+in a larger table;
 ``read_ids`` reads the files back block by block.  Neither holds more than a block and a batch.
 
 Defined results: a null text counts as empty (its end id alone is written); null keys come first; rows with
@@ -24,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..plans.lineage import cut_lineage, scratch_path
+from ..plans.sizing import estimated_bytes
 from .common import free_name, new_file, open_file, texts_of, write_file
 from .packing import encoded
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
+FILE_BYTES = 64 << 20  # of the table, as the planner expects it, per file at most
 MOST_TASKS = 10_000  # each reads several files beyond that
 ENTRY = struct.Struct("<QI4I")  # place in the file, ids, compressed bytes of each plane
 FOOTER = struct.Struct("<QQQ")  # place of the index, blocks, place of the document table
@@ -86,8 +89,9 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "
     """
     tie = free_name([key, text], "__tie")
     order = [F.col(key).asc_nulls_first(), F.xxhash64(text), F.col(tie)]
+    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-estimated_bytes(docs.select(key, text)) // FILE_BYTES))
     ordered = (docs.select(key, text).withColumn(tie, F.monotonically_increasing_id())
-               .repartitionByRange(*order).sortWithinPartitions(*order).select(key, text))
+               .repartitionByRange(files, *order).sortWithinPartitions(*order).select(key, text))
 
     def write(batches):
         from pyspark import TaskContext

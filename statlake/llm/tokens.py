@@ -3,7 +3,9 @@
 ``WordBpe`` reads a file of the ``tokenizers`` library.  In a file whose tokens mark the end of
 a word and whose normaliser folds white space, no token spans a blank, so a text is cut at blanks
 and line feeds and each different word is encoded once per worker.  Any other file is given whole
-texts.  The words kept per worker are bounded; ids never depend on what is kept.
+texts.  Special tokens written out in a text become their single ids, as in the library.  The words kept
+per worker are bounded: a word met again moves to the young half, and when that is full the old half is
+dropped, so frequent words stay.  Ids never depend on what is kept.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from itertools import chain
 
 import numpy as np
 
-KEPT_WORDS = 500_000
+KEPT_WORDS = 400_000  # per half
 
 _SPACE = re.compile(r"\s")
 
@@ -27,11 +29,36 @@ def _keeps_words(normaliser: dict | None) -> bool:
                or x.get("type") == "Replace" and x.get("pattern") == {"Regex": "\\s+"} and x.get("content") == " " for x in steps)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level files write for each byte: itself if printable in Latin-1, else the next free one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + at) for at, b in enumerate(hidden)}
+
+
+def word_pattern(spec: dict) -> str | None:
+    """The pattern whose matches are encoded apart, for files of byte-level words that carry an end mark; else none."""
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    if (len(steps) == 2 and steps[0].get("type") == "Split" and steps[0].get("invert") and steps[0].get("behavior") == "Removed"
+            and "Regex" in steps[0].get("pattern", {}) and steps[1].get("type") == "ByteLevel"
+            and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex", True)
+            and spec["model"].get("end_of_word_suffix") and not spec["model"].get("unk_token")):
+        return steps[0]["pattern"]["Regex"]
+    return None
+
+
+def special_tokens(spec: dict) -> dict[str, int] | None:
+    """Added tokens and their ids; none if the library looks for one of them in another way than as it stands."""
+    added = spec.get("added_tokens") or []
+    plain = all(not (t.get("single_word") or t.get("lstrip") or t.get("rstrip") or t.get("normalized")) for t in added)
+    return {t["content"]: t["id"] for t in added} if plain else None
+
+
 class _Numbers(dict):
     """Numbers words in the order in which they are first asked for."""
 
     def __init__(self):
-        self.new: list[str] = []
+        self.new: list = []
 
     def __missing__(self, word):
         self[word] = number = len(self)
@@ -65,6 +92,13 @@ class _Runs:
         return self.values[np.repeat(first - before, lengths) + np.arange(total)], lengths
 
 
+class _Kept:
+    """Numbered words and the ids of each."""
+
+    def __init__(self):
+        self.numbers, self.ids = _Numbers(), _Runs()
+
+
 class WordBpe:
     def __init__(self, path: str, kept: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,29 +106,18 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         spec = json.loads(self.tokenizer.to_str())
         self.joins = _keeps_words(spec.get("normalizer"))
-        suffix = spec["model"].get("end_of_word_suffix")
-        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        first = steps[0]
+        pattern, self.special = word_pattern(spec), special_tokens(spec)
         self.pattern = None
-        if (suffix and first.get("type") == "Split" and first.get("invert") and not spec["model"].get("unk_token")
-                and first.get("behavior") == "Removed" and "Regex" in first.get("pattern", {})):
-            self.pattern = regex.compile(first["pattern"]["Regex"])
-            vocabulary = self.tokenizer.get_vocab()
-            self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-            for token, number in vocabulary.items():
-                self.ends_word[number] = token.endswith(suffix)
+        if pattern and self.special is not None:
+            self.pattern = regex.compile(pattern)
+            self.pattern_or_blank = regex.compile(f"(?:{pattern})| ")
+            self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+            self.special_start = os.path.commonprefix(list(self.special))
+            self.letters = byte_letters() | {ord("\n"): "\n"}
         self.kept = kept
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words, self.word_pieces = _Numbers(), _Runs()
-        self.pieces, self.piece_ids = _Numbers(), _Runs()
-        self.words[""]  # an empty word has no piece; it would vanish between joined blanks
-        self.words.new = []
-        self.word_pieces.append(np.empty(0, np.int32), np.zeros(1, np.int64))
+        self.words, self.old, self.pieces = _Kept(), _Kept(), _Kept()
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = [np.asarray(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -116,36 +139,74 @@ class WordBpe:
         rest = iter(split)
         return [alone(w) if _SPACE.search(w) else next(rest) for w in words]
 
-    def _learn(self) -> None:
-        """Encode the words first seen in this batch."""
-        words, self.words.new = self.words.new, []
-        split = self._normalised(words)
-        found = [self.pattern.findall(w) for w in split]
-        numbers = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(found)), np.int32)
-        self.word_pieces.append(numbers, np.fromiter(map(len, found), np.int64, len(found)))
-        new, self.pieces.new = self.pieces.new, []
+    def _pieces_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row, and how many each has: one search over all words, in which the blanks between them show their ends."""
+        if len(self.pieces.numbers) > self.kept or not self.pieces.ids.rows:
+            self.pieces = _Kept()
+            self.pieces.numbers[" "]
+            self.pieces.numbers.new = []
+            self.pieces.ids.append(np.empty(0, np.int32), np.zeros(1, np.int64))
+        found = self.pattern_or_blank.findall(" ".join(words))
+        numbers = np.fromiter(map(self.pieces.numbers.__getitem__, found), np.int64, len(found))
+        new, self.pieces.numbers.new = self.pieces.numbers.new, []
         if new:
-            ids = np.asarray(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, np.int32)
-            lengths = np.diff(np.flatnonzero(np.r_[True, self.ends_word[ids]]))
-            if len(lengths) != len(new) or not self.ends_word[ids[-1]]:
-                ids, lengths = self._whole(new)
-            self.piece_ids.append(ids, lengths)
+            letters = "\n".join(new).encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters).split("\n")
+            rows = [[t.id for t in tokens] for tokens in map(self.tokenizer.model.tokenize, letters)]
+            self.pieces.ids.append(np.fromiter(chain.from_iterable(rows), np.int32), np.fromiter(map(len, rows), np.int64, len(rows)))
+        ids, sizes = self.pieces.ids.take(numbers)
+        ends = np.append(np.cumsum(sizes)[numbers == 0], len(ids))
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn(self, words: list) -> None:
+        """Take over what the old half knows of words new to the young one, and encode the rest."""
+        places = np.fromiter(map(lambda w: self.old.numbers.get(w, -1), words), np.int64, len(words))
+        unknown = np.flatnonzero(places < 0).tolist()
+        split = self._normalised([w if isinstance(w, str) else "" for w in map(words.__getitem__, unknown)])
+        alone = {at for at, w in zip(unknown, split) if " " in w or not isinstance(words[at], str)}
+        ids, sizes = self._pieces_of([w for at, w in zip(unknown, split) if at not in alone]) if len(alone) < len(unknown) else (
+            np.empty(0, np.int32), np.empty(0, np.int64))
+        joined = _Runs()
+        joined.append(*self.old.ids.take(places[places >= 0]))
+        joined.append(ids, sizes)
+        order = np.zeros(len(words), np.int64)
+        order[places >= 0] = np.arange(int((places >= 0).sum()))
+        rows = joined.rows - len(sizes)
+        for at, word in zip(unknown, split):
+            if at in alone:  # a special token, or a word with white space inside
+                own = [words[at]] if isinstance(words[at], int) else self._pieces_of(word.split(" "))[0]
+                order[at] = joined.rows
+                joined.append(np.asarray(own, np.int32), np.array([len(own)]))
+            else:
+                order[at] = rows
+                rows += 1
+        self.words.ids.append(*joined.take(order))
+
+    def _split(self, text: str) -> list:
+        """Words of a text, and the ids of special tokens in between."""
+        if not self.special or self.special_start not in text:
+            return text.replace("\n", " ").split(" ")
+        out = []
+        for at, part in enumerate(self.special_pattern.split(text)):
+            if at % 2:
+                out.append(self.special[part])
+            else:
+                out.extend(part.replace("\n", " ").split(" "))
+        return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (int32), and how many each text has."""
         if self.pattern is None:
             return self._whole(texts)
-        if len(self.words) > self.kept or len(self.pieces) > self.kept:
-            self._forget()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.words.numbers) > self.kept:
+            self.words, self.old = _Kept(), self.words
+        split = list(map(self._split, texts))
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        if self.words.new:
-            self._learn()
-        pieces, per_word = self.word_pieces.take(numbers)
-        ids, per_piece = self.piece_ids.take(pieces)
-        return ids, _sums(_sums(per_piece, per_word), counts)
-
+        numbers = np.fromiter(map(self.words.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        new, self.words.numbers.new = self.words.numbers.new, []
+        if new:
+            self._learn(new)
+        ids, sizes = self.words.ids.take(numbers)
+        return ids, _sums(sizes, counts)
 
     def encode_long(self, text: str, most: int) -> tuple[np.ndarray, np.ndarray]:
         """As ``encode`` of one text, holding the words of about ``most`` characters at a time."""

@@ -23,15 +23,14 @@ EDGES = ["", "  a\x1cb c ́x <|endoftext|> İSTANBUL ΣΑΣ", "\n\n '’s don't"
 @pytest.fixture(scope="module")
 def plain():
     encoder = Tokenizer.from_file(WORDS)
-    encoder.encode_special_tokens = True
     return lambda text, end: [*encoder.encode(text or "", add_special_tokens=False).ids, end]
 
 
 def test_words_encoded_once_give_the_library_s_ids(plain):
     texts = EDGES + [t or "" for _, t, _ in ROWS]
-    for kept in (10, 10_000):
+    for kept in (1, 10, 10_000):
         encoder = WordBpe(WORDS, kept)
-        for part in (texts[:4], texts[4:], texts):
+        for part in (texts[:4], texts[4:], texts, *([t] for t in texts), texts[::-1]):
             ids, counts = encoder.encode(part)
             assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain(t, 0)[:-1] for t in part]
 
@@ -56,7 +55,6 @@ def test_long_texts_are_encoded_in_parts(plain, most):
 def test_a_tokenizer_that_keeps_blanks_gets_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = Tokenizer.from_file(path)
-    encoder.encode_special_tokens = True
     ids, counts = WordBpe(path).encode(EDGES)
     assert list(ids) == [i for t in EDGES for i in encoder.encode(t, add_special_tokens=False).ids] and len(counts) == len(EDGES)
 
