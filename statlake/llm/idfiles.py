@@ -89,7 +89,9 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "
     """
     tie = free_name([key, text], "__tie")
     order = [F.col(key).asc_nulls_first(), F.xxhash64(text), F.col(tie)]
-    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-estimated_bytes(docs.select(key, text)) // FILE_BYTES))
+    size = estimated_bytes(docs.select(key, text))
+    size = 0 if size > 1 << 60 else size  # the planner knows nothing of it
+    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
     ordered = (docs.select(key, text).withColumn(tie, F.monotonically_increasing_id())
                .repartitionByRange(files, *order).sortWithinPartitions(*order).select(key, text))
 
