@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, idfiles, langid, lm, neardup_texts, neardup_vectors, packing, sharding, topk, toxicity
+from . import bytebpe, idfiles, langid, lm, neardup_texts, neardup_vectors, packing, pairindex, repair, sharding, topk, toxicity
 from .common import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +75,18 @@ def op10_top_k(spark, sf):
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-_REGISTERED = (op1_extendible_shards, op2_kneser_ney, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_pack_sequences, op7_id_files, op8_order_minhash, op9_toxicity, op10_top_k)
+def op12_pair_index_bpe(spark, sf):
+    """Ids of all documents under the word file, by the pair index, and their decoding."""
+    return pairindex.encode_texts(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_conversation_repair(spark, sf):
+    """Faults and cheapest repair of all damaged conversations."""
+    return repair.repair_damaged(table(spark, sf, "conversations"))
+
+
+_REGISTERED = (op1_extendible_shards, op2_kneser_ney, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_pack_sequences, op7_id_files,
+               op8_order_minhash, op9_toxicity, op10_top_k, op12_pair_index_bpe, op13_conversation_repair)
 
 
 def shipped(fn):

@@ -10,9 +10,11 @@ dropped, so frequent words stay.  Ids never depend on what is kept.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
+import unicodedata
 from itertools import chain
 
 import numpy as np
@@ -29,6 +31,19 @@ def _keeps_words(normaliser: dict | None) -> bool:
                or x.get("type") == "Replace" and x.get("pattern") == {"Regex": "\\s+"} and x.get("content") == " " for x in steps)
 
 
+@functools.cache
+def _newer_letters() -> re.Pattern:
+    """Characters that Unicode 3.2 does not know: two libraries can differ on whether they are letters."""
+    category, ranges, first = unicodedata.ucd_3_2_0.category, [], None
+    for code in range(0x110001):
+        if code < 0x110000 and category(chr(code)) == "Cn":
+            first = code if first is None else first
+        elif first is not None:
+            ranges.append(f"{chr(first)}-{chr(code - 1)}")
+            first = None
+    return re.compile("[" + "".join(ranges) + "]")
+
+
 def byte_letters() -> dict[int, str]:
     """The letter that byte-level files write for each byte: itself if printable in Latin-1, else the next free one from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -106,7 +121,7 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        spec = json.loads(self.tokenizer.to_str())
+        self.spec = spec = json.loads(self.tokenizer.to_str())
         self.joins = _keeps_words(spec.get("normalizer"))
         pattern, self.special = word_pattern(spec), special_tokens(spec)
         self.pattern = None
@@ -116,6 +131,7 @@ class WordBpe:
             self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
             self.special_start = os.path.commonprefix(list(self.special))
             self.letters = byte_letters() | {ord("\n"): "\n"}
+            self.bytes_of = {ord(letter): b for b, letter in byte_letters().items()}
         self.kept = kept
         self.words, self.old, self.pieces = _Kept(), _Kept(), _Kept()
 
@@ -139,20 +155,30 @@ class WordBpe:
         rest = iter(split)
         return [alone(w) if _SPACE.search(w) else next(rest) for w in words]
 
-    def _pieces_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words in a row, and how many each has: one search over all words, in which the blanks between them show their ends."""
+    def piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different pieces in a row, and how many each has."""
+        letters = "\n".join(pieces).encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters).split("\n")
+        rows = [[t.id for t in tokens] for tokens in map(self.tokenizer.model.tokenize, letters)]
+        return np.fromiter(chain.from_iterable(rows), np.int32), np.fromiter(map(len, rows), np.int64, len(rows))
+
+    def _cut(self, word: str) -> list[str]:
+        """The pieces of a word; the library is asked where its own tables decide."""
+        if _newer_letters().search(word):
+            found = self.tokenizer.pre_tokenizer.pre_tokenize_str(word)
+            return [letters.translate(self.bytes_of).encode("latin-1").decode("utf-8", "surrogatepass") for letters, _ in found]
+        return self.pattern.findall(word)
+
+    def _pieces_of(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in a row, and how many stand before each blank and at the end."""
         if len(self.pieces.numbers) > self.kept or not self.pieces.ids.rows:
             self.pieces = _Kept()
             self.pieces.numbers[" "]
             self.pieces.numbers.new = []
             self.pieces.ids.append(np.empty(0, np.int32), np.zeros(1, np.int64))
-        found = self.pattern_or_blank.findall(" ".join(words))
         numbers = np.fromiter(map(self.pieces.numbers.__getitem__, found), np.int64, len(found))
         new, self.pieces.numbers.new = self.pieces.numbers.new, []
         if new:
-            letters = "\n".join(new).encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters).split("\n")
-            rows = [[t.id for t in tokens] for tokens in map(self.tokenizer.model.tokenize, letters)]
-            self.pieces.ids.append(np.fromiter(chain.from_iterable(rows), np.int32), np.fromiter(map(len, rows), np.int64, len(rows)))
+            self.pieces.ids.append(*self.piece_ids(new))
         ids, sizes = self.pieces.ids.take(numbers)
         ends = np.append(np.cumsum(sizes)[numbers == 0], len(ids))
         return ids, np.diff(ends, prepend=0)
@@ -162,9 +188,13 @@ class WordBpe:
         places = np.fromiter(map(lambda w: self.old.numbers.get(w, -1), words), np.int64, len(words))
         unknown = np.flatnonzero(places < 0).tolist()
         split = self._normalised([w if isinstance(w, str) else "" for w in map(words.__getitem__, unknown)])
-        alone = {at for at, w in zip(unknown, split) if " " in w or not isinstance(words[at], str)}
-        ids, sizes = self._pieces_of([w for at, w in zip(unknown, split) if at not in alone]) if len(alone) < len(unknown) else (
-            np.empty(0, np.int32), np.empty(0, np.int64))
+        together = " ".join(split)
+        newer = _newer_letters().search if _newer_letters().search(together) else lambda word: None
+        alone = {at for at, w in zip(unknown, split) if " " in w or not isinstance(words[at], str) or newer(w)}
+        if alone:
+            together = " ".join(w for at, w in zip(unknown, split) if at not in alone)
+        ids, sizes = (self._pieces_of(self.pattern_or_blank.findall(together)) if len(alone) < len(unknown)
+                      else (np.empty(0, np.int32), np.empty(0, np.int64)))
         joined = _Runs()
         joined.append(*self.old.ids.take(places[places >= 0]))
         joined.append(ids, sizes)
@@ -172,8 +202,8 @@ class WordBpe:
         order[places >= 0] = np.arange(int((places >= 0).sum()))
         rows = joined.rows - len(sizes)
         for at, word in zip(unknown, split):
-            if at in alone:  # a special token, or a word with white space inside
-                own = [words[at]] if isinstance(words[at], int) else self._pieces_of(word.split(" "))[0]
+            if at in alone:  # a special token, or a word with white space or newer letters inside
+                own = [words[at]] if isinstance(words[at], int) else self._pieces_of(self._cut(word))[0]
                 order[at] = joined.rows
                 joined.append(np.asarray(own, np.int32), np.array([len(own)]))
             else:
