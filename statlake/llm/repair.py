@@ -428,12 +428,13 @@ def _hashed(conv_type):
     return feed, schema
 
 
-def repair(rows: DataFrame, segment_rows: int = SEGMENT_ROWS, name: str = "conv_id") -> DataFrame:
-    """One row per conversation of ``with_faults(damaged(...))``: counts of faults, cost, edits and the digest of the repaired turns."""
+def repair(rows: DataFrame, segment_rows: int = SEGMENT_ROWS, name: str = "conv_id", tasks: int | None = None) -> DataFrame:
+    """One row per conversation of ``with_faults(damaged(...))``: counts of faults, cost, edits and the digest of the repaired turns.
+
+    ``tasks`` read the rows in order; as many as the session shuffles into unless given.
+    """
     conv_type = rows.schema["conv"].dataType
-    size = estimated_bytes(rows)
-    size = 0 if size > 1 << 60 else size  # the planner knows nothing of it
-    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order: list[Column] = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), *map(F.col, ("role", "digest", "tie", "copy"))]
     ordered = (rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
                .select("conv", F.col("turn").cast("long"), "role", "text", "dropped", "blank", "duplicate", "truncated"))
@@ -453,4 +454,7 @@ def repair(rows: DataFrame, segment_rows: int = SEGMENT_ROWS, name: str = "conv_
 
 def repair_damaged(conversations: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Damage all rows by the fixed rule, then repair every conversation."""
-    return repair(with_faults(damaged(conversations)), segment_rows)
+    size = estimated_bytes(conversations)  # of the table itself: joins make the planner's estimate useless
+    size = 0 if size > 1 << 60 else size  # the planner knows nothing of it
+    tasks = max(int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    return repair(with_faults(damaged(conversations)), segment_rows, tasks=tasks)
