@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, idfiles, langid, lm, neardup_texts, neardup_vectors, packing, pairindex, repair, sharding, topk, toxicity
+from . import bytebpe, dualtree, idfiles, langid, lm, neardup_texts, neardup_vectors, packing, pairindex, repair, sharding, topk, toxicity
 from .common import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op10_top_k(spark, sf):
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_dual_tree_search(spark, sf):
+    """The 50 highest-scoring documents of every benchmark item."""
+    return dualtree.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op12_pair_index_bpe(spark, sf):
     """Ids of all documents under the word file, by the pair index, and their decoding."""
     return pairindex.encode_texts(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -86,7 +91,7 @@ def op13_conversation_repair(spark, sf):
 
 
 _REGISTERED = (op1_extendible_shards, op2_kneser_ney, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_pack_sequences, op7_id_files,
-               op8_order_minhash, op9_toxicity, op10_top_k, op12_pair_index_bpe, op13_conversation_repair)
+               op8_order_minhash, op9_toxicity, op10_top_k, op11_dual_tree_search, op12_pair_index_bpe, op13_conversation_repair)
 
 
 def shipped(fn):
@@ -103,4 +108,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_extendible_shards": sharding.ORACLE, "op10_top_k": topk.ORACLE}
+    return {"op1_extendible_shards": sharding.ORACLE, "op10_top_k": topk.ORACLE, "op11_dual_tree_search": dualtree.ORACLE}
