@@ -5,19 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.fixed_values import EXPORT_ROW_CEILING, PREVIEW_ROWS
 from ..plans.lineage import cut_lineage
 from ..plans.sizing import quoted
 from ..sources.writers import to_records
 from .filters import without_geometry
-from .ranking import with_row_index
 
-# Up to this many rows the tasks' top lists are merged in shares and then in one task, beyond it rows are ranked
-# by a range partition.  Both give the same rows.
-TOP_K_ROWS = 10_000
-SHARES = 64
+SKETCH_SIZE = 2048  # a quantile sketch of about 50 KB per task
+SKETCH_ERROR = 0.005  # share of all rows by which a rank is allowed to be off, some four times the sketch's own error
+HALVINGS = 40  # the sketch is asked for the best half of all rows, the best quarter, and so on
 
 
 def _columns(names: Sequence[str]) -> list:
@@ -47,7 +45,7 @@ def first_n(df: DataFrame, n: int | None, order: Sequence[str] = ()) -> DataFram
     """First ``n`` rows by ``order`` (input position if none given)."""
     if n is None or n <= 0:
         return df
-    return _top(df, n, [c.asc_nulls_last() for c in _columns(order)])
+    return _top(df, n, order)
 
 
 def most_recent(
@@ -86,23 +84,68 @@ def most_recent(
         nth = (dates.orderBy(F.col("day").desc()).limit(n).withColumn("later", F.coalesce(F.sum("rows").over(later), F.lit(0)))
                .filter(F.col("later") < n).agg(F.min("day")).scalar())
         df = df.filter(day.isNull() | (day >= nth))
-    latest = _top(df, n, [F.col(quoted(date)).desc_nulls_first(), *(c.desc() for c in ties)],
-                  later_first=True)
+    latest = _top(df, n, [date, *tie_break], descending=True)
     return latest.orderBy(F.col(quoted(date)).asc_nulls_last(), *(c.asc() for c in ties))
 
 
-def _top(df: DataFrame, n: int, order: list, later_first: bool = False) -> DataFrame:
-    position = F.col("__at").desc() if later_first else F.col("__at").asc()
-    placed = df.withColumn("__at", F.monotonically_increasing_id())
-    if n <= TOP_K_ROWS:
-        # A task's best rows go to one of a few shares first, so no task merges the lists of all tasks.
-        share = F.pmod(F.spark_partition_id(), F.lit(SHARES))
-        best = Window.partitionBy("__share").orderBy(*order, position)
-        merged = placed.withColumn("__share", share).withColumn("__place", F.row_number().over(best)).filter(F.col("__place") <= n)
-        return merged.orderBy(*order, position).limit(n).drop("__at", "__share", "__place")
-    # Positions decide which partition a row goes to, so they are written down first.
-    ranked = with_row_index(cut_lineage(placed, "placed"), [*order, position], "__rank")
-    return ranked.filter(F.col("__rank") < n).drop("__rank", "__at")
+def _sketched(column: Column, kind: T.DataType) -> tuple[str, Column] | None:
+    """The sketch for a column's type, and the column as a number that grows with it (or stays equal)."""
+    if isinstance(kind, T.DateType):
+        return "bigint", F.unix_date(column).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return "bigint", F.unix_micros(column)
+    if isinstance(kind, T.IntegralType):
+        return "bigint", column.cast("long")
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
+        number = column.cast("double")
+        return "double", F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)  # NaN is the largest
+    if isinstance(kind, T.StringType):
+        return "bigint", F.conv(F.hex(F.rpad(F.substring(F.encode(column, "UTF-8"), 1, 7), 7, F.lit(b"\0"))), 16, 10).cast("long")
+    return None
+
+
+def _within_cut_off(df: DataFrame, n: int, name: str, descending: bool) -> DataFrame:
+    """Rows that can be among the ``n`` best by one column: undated ones, and those not behind a bound.
+
+    The bound comes from one quantile sketch of the column and is then checked by a count: if fewer than ``n`` rows reached it, the
+    worst value of all takes its place.  Both are subqueries on the one column; for dates and numbers the bound reaches the scan.
+    """
+    column, kind = F.col(quoted(name)), df.schema[name].dataType
+    found = _sketched(column, kind)
+    if found is None:
+        return df
+    sketch, number = found
+    shares = [2.0 ** -i for i in range(HALVINGS)]
+    ranks = F.array(*[F.lit(1 - s if descending else s) for s in shares])
+    seen = df.select(number.alias("number"))
+    made = seen.agg(F.count("number").alias("rows"), F.call_function(f"kll_sketch_agg_{sketch}", F.col("number"), F.lit(SKETCH_SIZE)).alias("sketch"))
+    halvings = F.floor(F.log2(F.col("rows") / (n + SKETCH_ERROR * F.col("rows"))))
+    place = F.greatest(F.lit(1), F.least(F.lit(HALVINGS), halvings + 1)).cast("int")
+    bound = made.where("rows > 0").select(F.element_at(F.call_function(f"kll_sketch_get_quantile_{sketch}", F.col("sketch"), ranks), place)).scalar()
+    reached = F.count_if(F.col("number") >= bound if descending else F.col("number") <= bound)
+    worst = F.min("number") if descending else F.max("number")
+    sure = seen.agg(F.when(reached >= n, bound).otherwise(worst).alias("bound")).scalar()
+    if isinstance(kind, T.DateType):
+        column, sure = column, F.date_from_unix_date(sure.cast("int"))
+    elif isinstance(kind, T.TimestampType):
+        column, sure = column, F.timestamp_micros(sure)
+    elif isinstance(kind, (T.StringType, T.FractionalType, T.DecimalType)):
+        column = number
+    return df.filter(column.isNull() | (column >= sure if descending else column <= sure))
+
+
+def _top(df: DataFrame, n: int, by: Sequence[str], *, descending: bool = False) -> DataFrame:
+    """The first ``n`` rows by columns and then by input position, or the last ones.
+
+    One plan for every ``n``: a bound on the first column, what is within it in a top-k.  Each task sends at most ``n`` rows on, and
+    all tasks together about ``n`` and a share of ``SKETCH_ERROR``; the rows that are returned pass one task.
+    """
+    if by:
+        df = _within_cut_off(df, n, by[0], descending)
+    columns = [*_columns(by)]
+    order = [*(c.desc_nulls_first() if descending and not at else c.desc() if descending else c.asc_nulls_last() for at, c in enumerate(columns)),
+             F.col("__at").desc() if descending else F.col("__at").asc()]
+    return df.withColumn("__at", F.monotonically_increasing_id()).orderBy(*order).limit(n).drop("__at")
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:

@@ -51,7 +51,8 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     """``df`` marked for broadcast if it measures below ``limit``, else as it is.
 
     Unmarked, the join is planned by Catalyst and AQE (shuffled, skew split).  Only what the planner already expects to be
-    small is measured, which reads ``df`` once more: give a written table (``cut_lineage``) if it is costly to compute.
+    small is measured, which reads ``df`` once more: give a written table (``cut_lineage``) if it is costly to compute.  Of rows made
+    in the program the planner expects the worst, so they are neither measured nor broadcast.
     """
     small = estimated_bytes(df) <= limit and measured_bytes(df) <= limit
     return F.broadcast(df) if small else df

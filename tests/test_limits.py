@@ -76,13 +76,34 @@ def test_first_n_without_date(spark):
     assert values(first_n(df, 2, ["value"])) == [1, 2]
 
 
-@pytest.mark.parametrize("n", [1, 7, 250, 999])
-def test_beyond_top_k_the_result_is_the_same(spark, monkeypatch, n):
-    df = spark.range(1000).select((F.col("id") % 7).alias("date"), F.col("id").alias("value"))
-    expected = values(most_recent(df, n, tie_break=["value"]))
-    monkeypatch.setattr(limits, "TOP_K_ROWS", 0)
-    assert values(most_recent(df, n, tie_break=["value"])) == expected
-    assert sorted(values(first_n(df, n, ["value"]))) == list(range(n))
+@pytest.mark.parametrize("n", [1, 7, 250, 999, 2000])
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(20,2)", "date", "timestamp", "string", "boolean", "binary"])
+def test_one_plan_for_every_number_and_type(spark, n, kind):
+    """Ties, nulls and NaN, against a sort of all rows."""
+    number = F.when(F.col("id") % 11 == 0, None).otherwise((F.col("id") * 37) % 97 - 40)
+    if kind == "double":
+        number = F.when(F.col("id") % 13 == 0, float("nan")).otherwise(number)
+    value = {"date": F.date_add(F.lit("2020-01-01").cast("date"), number.cast("int")), "timestamp": F.timestamp_seconds(number * 100_000),
+             "boolean": number % 2 == 0}.get(kind, number.cast("string").cast(kind) if kind == "binary" else number.cast(kind))
+    df = spark.range(0, 1000, 1, 5).select(value.alias("date"), F.col("id").alias("value"))
+    latest = df.orderBy(F.col("date").desc_nulls_first(), F.col("value").desc()).limit(n).collect()
+    assert sorted(values(most_recent(df, n, tie_break=["value"]))) == sorted(r["value"] for r in latest)
+    first = [r["value"] for r in df.orderBy(F.col("date").asc_nulls_last(), "value").limit(n).collect()]
+    assert sorted(values(first_n(df, n, ["date", "value"]))) == sorted(first)
+    assert sorted(values(first_n(df, n, ["value"]))) == list(range(min(n, 1000)))
+
+
+def test_the_cut_off_leaves_about_the_rows_asked_for(spark):
+    df = spark.range(0, 200_000, 1, 8).select(((F.col("id") * 7919) % 200_003).alias("date"), "id")
+    for descending in (True, False):
+        left = limits._within_cut_off(df, 5000, "date", descending).count()
+        assert 5000 <= left <= 2 * (5000 + limits.SKETCH_ERROR * 200_000)
+
+
+def test_a_sketch_that_is_off_does_no_harm(spark, monkeypatch):
+    monkeypatch.setattr(limits, "SKETCH_ERROR", -0.02)  # asks for too few rows
+    df = spark.range(0, 50_000, 1, 8).select(F.col("id").alias("date"))
+    assert [r["date"] for r in most_recent(df, 1100).collect()] == list(range(48_900, 50_000))
 
 
 def test_row_index_is_dense_over_partitions(spark):

@@ -77,7 +77,12 @@ def test_box_filter_searches_the_text_once(spark, stored):
 
 def test_most_recent_is_a_top_k(spark, stored):
     text = plan(most_recent(read_table(spark, stored), 10, tie_break=["id"]))
-    assert "TakeOrderedAndProject" in text
+    assert "TakeOrderedAndProject" in text and "kll_sketch_agg" in text
+    # One plan, with two subqueries on the date alone, whatever the number of rows.
+    for n in (1_001, 5_000, 1_000_000):
+        more = plan(most_recent(read_table(spark, stored), n, tie_break=["id"]))
+        assert [x for x in ("TakeOrderedAndProject", "Window", "rangepartitioning") if x in more] == [
+            x for x in ("TakeOrderedAndProject", "Window", "rangepartitioning") if x in text]
 
 
 def test_two_pass_skips_old_files(spark, tmp_path):
