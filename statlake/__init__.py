@@ -6,6 +6,7 @@ from .model import (
 from .operators.cdc import (
     diff_snapshots, feed_pages, high_water, latest_per_key, merge_changes, op_counts, since,
 )
+from .operators.digesttree import changed_rows, diff_stored, same_stored, write_digested
 from .operators.filters import (
     current_state, date_range, dimension_contains, from_publisher, from_source, resolve_date_column,
     without_geometry,

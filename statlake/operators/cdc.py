@@ -175,7 +175,7 @@ def feed_pages(changes: DataFrame, page_rows: int = FEED_PAGE_ROWS,
                         (F.col("__last") < end).alias("truncated"))
 
 
-def _hashable(schema: T.StructType) -> list[Column]:
+def hashable(schema: T.StructType) -> list[Column]:
     """What a row hash has to see: Spark's skips nulls, so each column comes with a null flag, and nested
     values go in as JSON text, in which their nulls have a place."""
     parts = []
@@ -193,7 +193,7 @@ def changed_candidates(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataF
     of rows on either side; rows with those digests are then picked by a semi join.
     """
     columns = [F.col(quoted(c)) for c in old.columns]
-    parts = _hashable(old.schema)
+    parts = hashable(old.schema)
     digests = [F.xxhash64(*parts).alias("__h1"), F.xxhash64(F.lit(1), *parts).alias("__h2")]
     changed = signed_difference(old.select(*digests), new.select(*digests), "__net").drop("__net")
     changed = broadcast_if_small(cut_lineage(changed, "digests"))
@@ -256,7 +256,7 @@ def diff_snapshots(
         old, new = changed_candidates(old, new)
     # Row hash and copy number split a key with a large share of the changes over many tasks.
     order: list[Column] = [F.col(names.op), *[F.col(quoted(k)) for k in key],
-                           F.xxhash64(*_hashable(old.schema)), F.col("__copy")]
+                           F.xxhash64(*hashable(old.schema)), F.col("__copy")]
     ranked = with_row_index(_numbered_copies(old, new, names.op), order, "__rank")
     return ranked.select(
         (F.col("__rank") + F.lit(after_seq + 1)).cast("long").alias(names.seq),
