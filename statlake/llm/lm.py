@@ -392,7 +392,8 @@ def discounts(t: list[int]) -> np.ndarray:
 
 
 def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All rows and columns with ``n_tokens, n_known, train_tokens, base_score, score``."""
+    """All rows and columns with ``n_tokens, n_known, train_tokens, base_score, score``; columns of these names are replaced."""
+    docs = docs.drop("n_tokens", "n_known", "train_tokens", "base_score", "score")
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")),
                            T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
     place = docs.columns.index(text)

@@ -1,13 +1,18 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 A text is cut into clauses, and each clause becomes a string of symbols: a lexical transducer turns words into
-insults ``I``, likely insults ``W``, threat verbs ``V``, targets ``T``, negations ``N``, reporting verbs ``R``, clause marks ``|`` and others
-``o``.  Four further transducers are composed after it: reported speech rewrites what follows a reporting
-verb in its clause, negation what follows a negation within ``REACH`` words, target what is aimed at somebody,
-threat a verb with its target.  What leaves the last one are matched clauses of a few kinds, and a kind has a
-weight: the learned share of toxic texts among those that hold it; likely insults, which clean texts hold now and
-then, are weighed by their number and by their share of all words.  A text's score is the chance that at least one match
-makes it toxic, so isolated words decide nothing by themselves.
+insults ``I``, likely insults ``W``, threat verbs ``V``, targets ``T``, negations ``N``, reporting verbs ``R``, words for words ``M`` and
+others ``o``.  Further transducers are composed after it: reported speech rewrites what follows a reporting verb in its
+clause, mention what follows a word for a word, negation what follows a negation within ``REACH`` words, target what is
+aimed at somebody, threat a verb with its target, and carrier an insult that stands in its clause without any other word (bare, or called out if
+the clause before holds other words).  What leaves the
+last one are matched clauses of a few kinds, each clause once per kind, and a kind has a weight: the learned share of toxic texts
+among those that hold it.  Clauses with a likely insult, which clean texts hold now and then, are weighed by their number and by their
+share of all clauses.  A text's score is the chance that at least one match makes it toxic.
+
+An insult word by itself matches nothing that decides: bare, mentioned, reported and negated insults have weights under 0.5 whatever is
+learned, however often they come, and so has a single clause with a likely insult.  An insult that a clause of other words carries is a
+match also without a target, since texts in which that alone marks toxicity are common.
 
 Insults are learned from labelled texts: whole words, and stems that take many endings.  Evidence is the
 number of different words that stand before a word, so that many copies of one text count as little as one.  Only a
@@ -15,7 +20,7 @@ sample of at most ``TOXIC_ROWS`` toxic and ``OTHER_ROWS`` other labelled texts i
 of the id; the sample alone has a bound, every text is scored whole.
 
 Defined results: a null or empty text has no match and gets the base score; of several labels of one document
-the toxic one counts; null labels are not learned from; without labels no insult is known and every score is the
+the toxic one counts, of several texts of one document the first in order is learned from; null labels are not learned from; without labels no insult is known and every score is the
 base score; equal rows score equally; an empty table gives no rows; columns of other names stay.
 """
 
@@ -42,19 +47,27 @@ KEPT_WORDS = 100_000
 NEGATIONS = "not no never isn't aren't wasn't don't doesn't ne pas jamais nicht kein keine nie nunca jamás ni".split()
 TARGETS = "you your you're u yourself du dich dir ihr euch sie tu toi te vous ton tú ti usted ustedes".split()
 REPORTS = "said says say called calls wrote claimed quoted told sagte sagt schrieb dit disait écrit appelle dijo dice llamó".split()
+MENTIONS = "word words term terms spelling wort worte wörter begriff mot mots terme palabra palabras término".split()
 THREATS = "kill hurt destroy beat stab shoot burn töten umbringen verletzen tuer frapper brûler matar golpear quemar".split()
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:\n|\"“”«»()]+")
 
 # Shares of toxic texts expected of a kind of match before any is seen, and how many texts that is worth.
-PRIOR = {"insult": 0.9, "aimed insult": 0.95, "negated insult": 0.3, "reported insult": 0.3,
+CALLED = "called insult"  # a bare one right after a clause of other words
+PRIOR = {"insult": 0.9, "aimed insult": 0.95, CALLED: 0.7, "negated insult": 0.3, "reported insult": 0.3, "mentioned insult": 0.2, "bare insult": 0.3,
+         "aimed likely insult": 0.6, "negated likely insult": 0.05,
          "threat": 0.9, "negated threat": 0.3, "reported threat": 0.3, "": 0.05}
 PRIOR |= {f"likely insult {many}-{dense}": prior for many, row in
           {1: (0.1, 0.15, 0.3), 2: (0.2, 0.5, 0.7), 3: (0.3, 0.7, 0.9), 4: (0.3, 0.8, 0.95)}.items()
           for dense, prior in enumerate(row)}
+# Kinds that never decide, not even together: all their matches weigh as one, of at most this.
+MOST_ALONE = 0.45
+WEAK = ("negated insult", "reported insult", "mentioned insult", "bare insult", "negated likely insult", "negated threat", "reported threat",
+        "likely insult 1-0", "likely insult 1-1", "likely insult 1-2")
 PRIOR_TEXTS = 2.0
-KINDS = {"I": "insult", "J": "aimed insult", "i": "negated insult", "q": "reported insult",
-         "W": "likely insult", "H": "threat", "h": "negated threat", "r": "reported threat"}
+FEW, MANY = 0.04, 0.12  # shares of clauses with a likely insult
+KINDS = {"I": "insult", "J": "aimed insult", "i": "negated insult", "q": "reported insult", "m": "mentioned insult", "b": "bare insult",
+         "W": "likely insult", "U": "aimed likely insult", "w": "negated likely insult", "H": "threat", "h": "negated threat", "r": "reported threat"}
 
 
 class Transducer:
@@ -82,14 +95,36 @@ def _negated() -> Transducer:
     arcs = {(0, "N"): (REACH, None)}
     for left in range(1, REACH + 1):
         arcs |= {(left, None): (left - 1, None), (left, "N"): (REACH, None), (left, "|"): (0, None),
-                 (left, "I"): (left - 1, "i"), (left, "W"): (left - 1, "W"), (left, "V"): (left - 1, "v")}
+                 (left, "I"): (left - 1, "i"), (left, "W"): (left - 1, "w"), (left, "V"): (left - 1, "v")}
     return Transducer(0, arcs)
 
 
+def _mentioned() -> Transducer:
+    """Within ``REACH`` words after a word for a word, in one clause."""
+    arcs = {(0, "M"): (REACH, None)}
+    for left in range(1, REACH + 1):
+        arcs |= {(left, None): (left - 1, None), (left, "M"): (REACH, None), (left, "|"): (0, None),
+                 (left, "I"): (left - 1, "m"), (left, "W"): (left - 1, "m")}
+    return Transducer(0, arcs)
+
+
+def _uncarried() -> Transducer:
+    """Insults with nothing but insults before them in their clause."""
+    return Transducer("bare", {("bare", "I"): ("bare", "b"), ("bare", "W"): ("bare", "c"), ("bare", None): ("carried", None),
+                               ("carried", "|"): ("bare", None), ("carried", None): ("carried", None), ("bare", "|"): ("bare", None)})
+
+
+def _carried() -> Transducer:
+    """Read from the end of a clause: insults that have another word behind them are carried after all."""
+    return Transducer("bare", {("bare", "b"): ("bare", None), ("bare", "c"): ("bare", "o"), ("bare", None): ("carried", None),
+                               ("carried", "b"): ("carried", "I"), ("carried", "c"): ("carried", "W"), ("carried", None): ("carried", None),
+                               ("carried", "|"): ("bare", None), ("bare", "|"): ("bare", None)})
+
+
 def _aimed() -> Transducer:
     """An insult in a clause that has named its target before."""
     return Transducer("open", {("open", "T"): ("aimed", None), ("aimed", "|"): ("open", None),
-                               ("aimed", "I"): ("aimed", "J"), ("aimed", None): ("aimed", None)})
+                               ("aimed", "I"): ("aimed", "J"), ("aimed", "W"): ("aimed", "U"), ("aimed", None): ("aimed", None)})
 
 
 def _threat() -> Transducer:
@@ -106,7 +141,7 @@ def _threat() -> Transducer:
 class _Symbols(dict):
     def __init__(self, words: frozenset, stems: tuple, likely_words: frozenset, likely_stems: tuple):
         self.words, self.stems, self.likely_words, self.likely_stems = words, stems, likely_words, likely_stems
-        self.fixed = {w: s for s, ws in (("V", THREATS), ("R", REPORTS), ("T", TARGETS), ("N", NEGATIONS)) for w in ws}
+        self.fixed = {w: s for s, ws in (("V", THREATS), ("R", REPORTS), ("T", TARGETS), ("N", NEGATIONS), ("M", MENTIONS)) for w in ws}
 
     def __missing__(self, token: str) -> str:
         word = token.lower().replace("’", "'")
@@ -136,38 +171,48 @@ class Grammar:
 
     def __init__(self, lexicon: Lexicon, weights: dict[str, float] | None = None):
         self.lexicon, self.weights = lexicon, weights or dict(PRIOR)
-        self.chain = [_reported(), _negated(), _aimed(), _threat()]
+        self.chain = [_reported(), _mentioned(), _negated(), _aimed(), _threat(), _uncarried()]
+        self.backward = _carried()
         self._symbols = None
 
     def __getstate__(self):
         return self.__dict__ | {"_symbols": None}
 
     def matches(self, text: str) -> dict[str, int]:
-        """How many matched clauses of each kind a text has; the likely insults count as one match of their kind."""
+        """How many clauses match each kind; those with a likely insult count as one match of the kind their number and share make."""
         if self._symbols is None:
             words, stems, likely_words, likely_stems = self.lexicon
             self._symbols = _Symbols(frozenset(words), tuple(stems), frozenset(likely_words), tuple(likely_stems))
         symbols = "".join(map(self._symbols.__getitem__, _TOKEN.findall(text)))
         found: dict[str, int] = {}
-        if "I" in symbols or "V" in symbols or "W" in symbols:
-            for clause in symbols.split("|"):
-                if "I" in clause or "V" in clause or "W" in clause:
-                    for transducer in self.chain:
-                        clause = transducer(clause)
-                    for symbol in set(clause) & KINDS.keys():
-                        kind = KINDS[symbol]
-                        found[kind] = found.get(kind, 0) + clause.count(symbol)
+        clauses = [c for c in symbols.split("|") if c]
+        spoken = False  # whether the clause before holds more than insults
+        for clause in clauses:
+            if "I" in clause or "V" in clause or "W" in clause:
+                for kind in self.kinds(clause):
+                    kind = CALLED if kind == "bare insult" and spoken else kind
+                    found[kind] = found.get(kind, 0) + 1
+            spoken = bool(clause.strip("IW"))
         likely = found.pop("likely insult", 0)
         if likely:
-            per_thousand = 1000 * likely / (len(symbols) - symbols.count("|"))
-            found[f"likely insult {min(likely, 4)}-{(per_thousand >= 2) + (per_thousand >= 6)}"] = 1
+            share = likely / len(clauses)
+            found[f"likely insult {min(likely, 4)}-{(share >= FEW) + (share >= MANY)}"] = 1
         return found
 
+    def kinds(self, clause: str) -> set[str]:
+        """The kinds of match in one clause."""
+        for transducer in self.chain:
+            clause = transducer(clause)
+        return {KINDS[symbol] for symbol in set(self.backward(clause[::-1])) & KINDS.keys()}
+
     def score(self, text: str) -> float:
-        clean = 1 - self.weights[""]
+        clean, weak = 1.0, 0.0
         for kind, count in self.matches(text).items():
-            clean *= (1 - self.weights[kind]) ** count
-        return 1 - clean
+            if kind in WEAK:
+                weak = max(weak, self.weights[kind])
+            else:
+                clean *= (1 - self.weights[kind]) ** count
+        return 1 - clean * (1 - max(self.weights[""], min(weak, MOST_ALONE)))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS,
@@ -182,7 +227,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_
     few = known.where(draw < drawn).withColumn("weight", 1 / drawn)
     # At most some ten thousand rows of two short columns, whatever the size of the tables.
     return (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).join(F.broadcast(few), "doc_id")
-            .dropDuplicates(["doc_id"]).select("text", "toxic", "weight"))
+            .groupBy("doc_id", "toxic", "weight").agg(F.min("text").alias("text")).select("text", "toxic", "weight"))
 
 
 def learn(sample: DataFrame) -> Grammar:
@@ -261,6 +306,8 @@ def _weighted(sample: DataFrame, lexicon: Lexicon) -> Grammar:
         pos, n, rows = seen.get(kind, (0.0, 0.0, 0))
         assumed = PRIOR_TEXTS * (n / rows if rows else 1.0)
         weights[kind] = (pos + assumed * prior) / (n + assumed)
+        if kind in WEAK or not kind:
+            weights[kind] = min(weights[kind], MOST_ALONE)
     return Grammar(lexicon, weights)
 
 

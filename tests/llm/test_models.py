@@ -173,19 +173,121 @@ def grammar():
 
 @pytest.mark.parametrize("text, kinds", [
     ("what an idiot", {"insult": 1}), ("You are an IDIOT!", {"aimed insult": 1}), ("he is not an idiot", {"negated insult": 1}),
-    ("he is not. idiot", {"insult": 1}), ("she said idiot and zorbing", {"reported insult": 2}), ("she said. idiot", {"insult": 1}),
-    ("zorbo zorbi", {"insult": 2}), ("i will kill you", {"threat": 1}), ("do not kill you", {"negated threat": 1}),
+    ("he is not. idiot", {"called insult": 1}), ("she said idiot and zorbing", {"reported insult": 1}), ("she said. an idiot", {"insult": 1}),
+    ("zorbo zorbi", {"bare insult": 1}), ("i will kill you", {"threat": 1}), ("do not kill you", {"negated threat": 1}),
     ("kill the time", {}), ("kill. you", {}), ("not at all in any way an idiot", {"insult": 1}), ("idiots", {}), ("", {}),
-    ("mudd", {"likely insult 1-2": 1}), ("mudd " * 9, {"likely insult 4-2": 1}), ("mudd" + " fine" * 900, {"likely insult 1-0": 1}),
-    ("he wrote he would kill you", {"reported threat": 1}), ("***idiot***", {"insult": 1})])
+    ("mudd", {}), ("so mudd " * 9, {"likely insult 1-2": 1}), ("so mudd. " * 9, {"likely insult 4-2": 1}), ("so mudd." + " fine." * 900, {"likely insult 1-0": 1}),
+    ("he wrote he would kill you", {"reported threat": 1}), ("***idiot***", {"bare insult": 1}), ("an idiot, a zorbo. an idiot!", {"insult": 2}),
+    ("The word idiot is rude.", {"mentioned insult": 1}), ("not mudd. " * 4, {"negated likely insult": 4}), ("you mudd", {"aimed likely insult": 1}),
+    ("Go away. Idiot! Idiot!", {"called insult": 1, "bare insult": 1})])
 def test_matched_clauses(text, kinds):
     assert grammar().matches(text) == kinds
 
 
 def test_scores_are_chances():
     g = grammar()
-    scores = [g.score(t) for t in ("", "fine", "not an idiot", "idiot", "idiot idiot", "you idiot")]
-    assert scores[0] == scores[1] < scores[2] < 0.5 < scores[3] < scores[4] and all(0 <= s <= 1 for s in scores)
+    scores = [g.score(t) for t in ("", "fine", "not an idiot", "an idiot", "an idiot. an idiot", "you idiot. an idiot")]
+    assert scores[0] == scores[1] < scores[2] < 0.5 < scores[3] < scores[4] < scores[5] <= 1
+    # Words alone, mentions, reports and negations never decide, however often they come and whatever was learned.
+    g.weights = {k: v if k in toxicity.WEAK else 0.99 for k, v in g.weights.items()}
+    g.weights |= {k: 0.99 for k in toxicity.WEAK} | {"": 0.01}
+    for text in ("idiot", "The word idiot is rude.", "not mudd. " * 9, "mudd " * 50, "idiot idiot! idiot", "zorbo. " * 9, "she said idiot. " * 9,
+                 "so mudd", "do not kill you. " * 5):
+        assert g.score(text) < 0.5, text
+
+
+def plain_kinds(clause):
+    """The grammar as rules over a list of symbols, one after the other."""
+    def within(out, mark, change):
+        left = 0
+        for i, s in enumerate(out):
+            if s == mark:
+                left = toxicity.REACH
+            elif left:
+                out[i], left = change.get(s, s), left - 1
+
+    out = list(clause)
+    if "R" in out:
+        first = out.index("R")
+        out[first + 1:] = [{"I": "q", "W": "q", "V": "r"}.get(s, s) for s in out[first + 1:]]
+    within(out, "M", {"I": "m", "W": "m"})
+    within(out, "N", {"I": "i", "W": "w", "V": "v"})
+    if "T" in out:
+        first = out.index("T")
+        out[first:] = [{"I": "J", "W": "U"}.get(s, s) for s in out[first:]]
+    verb, left = None, 0
+    for i, s in enumerate(out):
+        if s in "Vvr":
+            verb, left, out[i] = s, toxicity.REACH, "o"
+        elif verb:
+            if s == "T":
+                verb, out[i] = None, {"V": "H", "v": "h", "r": "r"}[verb]
+            else:
+                left -= 1
+                verb = verb if left else None
+    if set(out) <= {"I", "W"}:
+        out = ["b" if s == "I" else "o" for s in out]
+    return {toxicity.KINDS[s] for s in out if s in toxicity.KINDS}
+
+
+def test_composed_transducers_against_rules():
+    rng, g = np.random.default_rng(4), grammar()
+    for _ in range(20_000):
+        clause = "".join(rng.choice(list("IWVTNRMo"), rng.integers(1, 12)))
+        assert g.kinds(clause) == plain_kinds(clause), clause
+
+
+def plain_score(g, text):
+    import re
+    lexicon, fixed = g.lexicon, {"V": toxicity.THREATS, "R": toxicity.REPORTS, "T": toxicity.TARGETS, "N": toxicity.NEGATIONS, "M": toxicity.MENTIONS}
+
+    def symbol(word):
+        word = word.lower().replace("\u2019", "'")
+        if word in lexicon.words or any(word.startswith(x) for x in lexicon.stems):
+            return "I"
+        if word in lexicon.likely_words or any(word.startswith(x) for x in lexicon.likely_stems):
+            return "W"
+        return next((s for s in "NTRVM" if word in fixed[s]), "o")
+
+    clauses, now = [], []
+    for token in re.findall(r"[^\W\d_]+(?:['\u2019][^\W\d_]+)?|[.!?;:\n|\"\u201c\u201d\u00ab\u00bb()]+", text):
+        if token[0].isalpha():
+            now.append(symbol(token))
+        else:
+            clauses, now = clauses + [now], []
+    clauses = [c for c in clauses + [now] if c]
+    clean, weak, likely = 1.0, g.weights[""], 0
+    for at, clause in enumerate(clauses):
+        for kind in plain_kinds(clause):
+            if kind == "bare insult" and at and set(clauses[at - 1]) - {"I", "W"}:
+                kind = "called insult"
+            if kind == "likely insult":
+                likely += 1
+            elif kind in toxicity.WEAK:
+                weak = max(weak, min(g.weights[kind], toxicity.MOST_ALONE))
+            else:
+                clean *= 1 - g.weights[kind]
+    if likely:
+        share = likely / len(clauses)
+        kind = f"likely insult {min(likely, 4)}-{0 if share < toxicity.FEW else 1 if share < toxicity.MANY else 2}"
+        if kind in toxicity.WEAK:
+            weak = max(weak, min(g.weights[kind], toxicity.MOST_ALONE))
+        else:
+            clean *= 1 - g.weights[kind]
+    return 1 - clean * (1 - weak)
+
+
+def test_scores_of_a_whole_table_against_rules(spark):
+    import os
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    learned = toxicity.learn(toxicity.labelled_sample(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+    got = toxicity.score_texts(docs, learned).collect()
+    assert any(r.score >= 0.5 for r in got)
+    for r in got:
+        assert r.score == pytest.approx(plain_score(learned, r.text or ""), abs=1e-12)
 
 
 def test_insults_are_learned_from_labels(spark):
