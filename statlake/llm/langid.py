@@ -144,7 +144,8 @@ class Profiles:
 
 def identify(docs: DataFrame, profiles: Profiles, text: str = "text", lang_column: str = "lang_pred",
              score_column: str = "score") -> DataFrame:
-    """All rows and columns with the predicted language and its score."""
+    """All rows and columns with the predicted language and its score; columns of these names are replaced."""
+    docs = docs.drop(lang_column, score_column)
     schema = T.StructType([*docs.schema.fields, T.StructField(lang_column, T.StringType()),
                            T.StructField(score_column, T.DoubleType())])
     place = docs.columns.index(text)
