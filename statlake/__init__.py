@@ -16,6 +16,7 @@ from .operators.limits import capped, first_n, most_recent, preview, sort_by_dat
 from .operators.quality import duplicate_keys, same_rows, signed_difference, source_mismatch
 from .operators.reshape import to_long, to_wide
 from .operators.search import search_catalog, search_rows
+from .operators.textindex import add_rows, search_index
 from .plans.lake import Lake
 from .plans.lineage import drop_scratch
 from .plans.settings import configure

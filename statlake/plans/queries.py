@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.lookups import blank_to_null, truncated
 from ..model import ChangeColumns, Layout, TableMeta
 from ..operators import catalog as cat
-from ..operators import cdc, digesttree, geo, limits, quality, reshape, search
+from ..operators import cdc, digesttree, geo, limits, quality, reshape, search, textindex
 from ..operators.filters import (
     current_state, date_range, dimension_contains, from_source, without_geometry,
 )
@@ -694,6 +694,23 @@ def search_documents(spark, sf):
                               long_columns=("text",), aliases=aliases).select("doc_id")
 
 
+@query("""
+SELECT doc_id, source, lang FROM documents
+WHERE contains(lower(source), 'licen') OR contains(lower(source), 'copyright')
+   OR contains(lower(source), 'all rights') OR contains(lower(source), 'permission')
+   OR contains(lower(text), 'licen') OR contains(lower(text), 'copyright')
+   OR contains(lower(text), 'all rights') OR contains(lower(text), 'permission')
+""")
+def search_documents_indexed(spark, sf):
+    """The same needles through trigram postings; the index is made of the documents in two parts."""
+    path, docs = scratch_path(spark, "trigrams"), table(spark, sf, "documents")
+    for part in (0, 1):
+        textindex.add_rows(docs.filter(F.pmod("doc_id", F.lit(2)) == part), path, ["source", "text"])
+    aliases = {"licence": ("licen", "copyright", "all rights", "permission")}
+    return textindex.search_index(spark, path, "licence", columns=("source",), long_columns=("text",),
+                                  aliases=aliases).select("doc_id", "source", "lang")
+
+
 @query("""
 SELECT p_partkey, p_name, CASE p_name WHEN 'small gizmo' THEN 0 WHEN 'red gizmo' THEN 1 ELSE 99 END AS rank
 FROM part WHERE contains(lower(p_name), 'gizmo')
