@@ -11,7 +11,8 @@ from .operators.filters import (
     current_state, date_range, dimension_contains, from_publisher, from_source, resolve_date_column,
     without_geometry,
 )
-from .operators.geo import envelope, within_bbox
+from .operators.geo import envelope, within_bbox, write_by_place
+from .operators.history import rows_at
 from .operators.limits import capped, first_n, most_recent, preview, sort_by_date
 from .operators.quality import duplicate_keys, same_rows, signed_difference, source_mismatch
 from .operators.reshape import to_long, to_wide

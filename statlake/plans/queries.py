@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.lookups import blank_to_null, truncated
 from ..model import ChangeColumns, Layout, TableMeta
 from ..operators import catalog as cat
-from ..operators import cdc, digesttree, geo, limits, quality, reshape, search, textindex
+from ..operators import cdc, digesttree, geo, history, limits, quality, reshape, search, textindex
 from ..operators.filters import (
     current_state, date_range, dimension_contains, from_source, without_geometry,
 )
@@ -333,6 +333,44 @@ def orders_feed(spark: SparkSession, sf: str, names: ChangeColumns = cdc.NAMES)
         F.col("s.p").alias("o_totalprice"), "o_orderdate", "o_orderpriority")
 
 
+_FEED_SQL = """
+WITH steps AS (SELECT o.*, unnest(CASE o_orderpriority
+    WHEN '1-URGENT' THEN [{'n': 0, 'op': 'D', 'k': o_orderkey, 'p': o_totalprice}, {'n': 1, 'op': 'I', 'k': o_orderkey, 'p': o_totalprice + 1}]
+    WHEN '2-HIGH' THEN [{'n': 0, 'op': 'U', 'k': o_orderkey, 'p': o_totalprice + 2}]
+    WHEN '3-MEDIUM' THEN [{'n': 0, 'op': 'D', 'k': o_orderkey, 'p': o_totalprice}]
+    WHEN '5-LOW' THEN [{'n': 0, 'op': 'I', 'k': -o_orderkey - 1, 'p': o_totalprice}] END) AS s FROM orders o),
+feed AS (SELECT o_orderkey * 2 + s.n + 1 AS seq, s.op AS op, s.k AS k, s.p AS p FROM steps),
+by_status AS (SELECT o_orderstatus AS k, seq, op, p FROM feed JOIN orders ON feed.k = orders.o_orderkey)
+"""
+
+
+@query(_FEED_SQL + """
+, asked AS (SELECT o_orderkey AS k, o_orderkey * 2 + d AS "at" FROM orders, (VALUES (0), (1), (2), (1000)) x(d))
+SELECT k AS o_orderkey, "at", CASE WHEN op <> 'D' THEN seq END AS _seq, CASE WHEN op <> 'D' THEN p END AS o_totalprice
+FROM asked LEFT JOIN (SELECT a.k, a."at", arg_max(op, seq) AS op, max(seq) AS seq, arg_max(p, seq) AS p
+                      FROM asked a JOIN feed f ON f.k = a.k AND f.seq <= a."at" GROUP BY ALL) USING (k, "at")
+""")
+def feed_rows_at(spark, sf):
+    """Every order at four points of the feed: before its first change, between its changes, after them, and later."""
+    feed = orders_feed(spark, sf).select(*cdc.NAMES.all, "o_orderkey", "o_totalprice")
+    asked = table(spark, sf, "orders").select("o_orderkey", F.explode(F.array(*[
+        (F.col("o_orderkey") * 2 + d).cast("long") for d in (0, 1, 2, 1000)])).alias("at"))
+    return history.rows_at(feed, asked, ["o_orderkey"], block=4096)
+
+
+@query(_FEED_SQL + """
+, asked AS (SELECT o_orderstatus AS k, o_orderkey * 2 AS "at" FROM orders)
+SELECT k AS o_orderstatus, "at", CASE WHEN op <> 'D' THEN seq END AS _seq, CASE WHEN op <> 'D' THEN p END AS o_totalprice
+FROM asked ASOF LEFT JOIN by_status ON asked.k = by_status.k AND asked."at" >= by_status.seq
+""".replace("SELECT k AS", "SELECT asked.k AS"))
+def feed_rows_at_hot(spark, sf):
+    """Three keys share the whole feed; each is asked about once per order."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    feed = orders_feed(spark, sf).select(*cdc.NAMES.all, "o_orderkey", "o_totalprice").join(orders, "o_orderkey")
+    asked = orders.select("o_orderstatus", (F.col("o_orderkey") * 2).cast("long").alias("at"))
+    return history.rows_at(feed.drop("o_orderkey"), asked, ["o_orderstatus"], block=4096)
+
+
 _ORDERS_MERGED = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')
@@ -954,6 +992,17 @@ def wkt_bbox(spark, sf):
     return geo.within_bbox(_shapes(spark, sf), 10, 20000, 30, 60000).drop("geometry_wkt")
 
 
+@query(f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ({_BOXES})
+WHERE xmin >= 10 AND ymin >= 20000 AND xmax <= 30 AND ymax <= 60000
+""")
+def bbox_by_place(spark, sf):
+    """The same box on a table written in the order of a curve, with the boxes as columns."""
+    path = scratch_path(spark, "places")
+    geo.write_by_place(_shapes(spark, sf), path, bounds=(0, 0, 60, 120_000))
+    return geo.within_bbox(readers.read_table(spark, path), 10, 20000, 30, 60000).select(*_LINE_KEY)
+
+
 # --------------------------------------------------------------------------- checks
 
 @query("""

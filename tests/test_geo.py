@@ -44,3 +44,48 @@ def test_large_polygon(spark):
 def test_members_rings_and_line_breaks(spark, text, box):
     row = envelope(spark.createDataFrame([(text,)], "geometry_wkt string")).first()
     assert tuple(row)[1:] == (box or (None,) * 4)
+
+
+def test_a_table_by_place_skips_files(spark, tmp_path):
+    from statlake import write_by_place
+    path = str(tmp_path / "places")
+    points = spark.range(0, 40_000, 1, 4).select("id", ((F.col("id") * 7919) % 200 - 100).alias("x"), ((F.col("id") * 104_729) % 211 - 100).alias("y"))
+    df = points.select("id", F.when(F.col("id") % 50 == 0, None).otherwise(F.concat(F.lit("POINT ("), "x", F.lit(" "), "y", F.lit(")"))).alias("geometry_wkt"))
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_by_place(df, path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 40_000 and stored.columns == ["id", "geometry_wkt", "xmin", "ymin", "xmax", "ymax"]
+    inside = within_bbox(stored, 10, 10, 30, 30).select("id")
+    want = {r["id"] for r in points.filter("x BETWEEN 10 AND 30 AND y BETWEEN 10 AND 30 AND id % 50 <> 0").collect()}
+    assert {r["id"] for r in inside.collect()} == want and len(want) > 100
+    plan = inside._jdf.queryExecution().executedPlan()
+    assert "GreaterThanOrEqual(xmin,10" in plan.toString() and "rlike" not in plan.toString()
+    while "AdaptiveSparkPlanExec" in plan.getClass().getName():
+        plan = plan.executedPlan()
+    while "FileSourceScanExec" not in plan.getClass().getName():
+        plan = plan.children().apply(0)
+    assert plan.metrics().apply("numOutputRows").value() < 40_000 / 4  # the box is a hundredth of the area
+
+
+def test_codes_on_the_curve(spark):
+    from statlake.operators.geo import curve_code
+    rows = [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0), (3.0, 3.0), (-5.0, 99.0), (4.0, 4.0)]
+    df = spark.createDataFrame(rows, "x double, y double").select(curve_code(F.col("x"), F.col("y"), (0, 0, 4, 4)).alias("c"))
+    unit = 1 << 28  # a quarter of an axis, in both its bits
+    assert [r["c"] // unit for r in df.collect()] == [0, 1, 2, 15, 10, 15]
+    flat = spark.createDataFrame(rows, "x double, y double").select(curve_code(F.col("x"), F.col("y"), (1, 1, 1, 1)).alias("c"))
+    assert {r["c"] for r in flat.collect()} == {0}
+
+
+def test_a_table_without_boxes_by_place(spark, tmp_path):
+    from statlake import write_by_place
+    df = spark.createDataFrame([(1, "broken"), (2, None)], "id int, geometry_wkt string")
+    write_by_place(df, str(tmp_path / "none"))
+    assert within_bbox(spark.read.parquet(str(tmp_path / "none")), 0, 0, 1, 1).count() == 0
+    write_by_place(df.limit(0), str(tmp_path / "empty"), bounds=(0, 0, 1, 1))
+    assert spark.read.parquet(str(tmp_path / "empty")).count() == 0
