@@ -7,6 +7,7 @@ grows with them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -20,7 +21,7 @@ from ..operators.filters import (
 from ..operators.ranking import with_row_index
 from ..sources import readers, writers
 from ..streaming.stream import read_feed_stream, stream_changelog
-from ..streaming.sync import sync_changelog, sync_snapshot
+from ..streaming.sync import sync, sync_changelog, sync_log, sync_snapshot
 from ..streaming.versions import VersionedTable
 from .lake import Lake
 from .lineage import cut_lineage, scratch_path
@@ -1220,3 +1221,97 @@ def sync_snapshot_replace(spark, sf):
         rows = table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") + more).alias("o_totalprice"))
         sync_snapshot(spark, root, rows, f"snapshot {more}")
     return VersionedTable(spark, root).read()
+
+
+_OUTCOMES = """
+WITH base AS (SELECT o_orderkey, o_totalprice FROM orders),
+merged AS (SELECT o_orderkey, o_totalprice + CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 0 END AS o_totalprice
+           FROM orders WHERE o_orderpriority <> '3-MEDIUM'
+           UNION ALL SELECT -o_orderkey - 1, o_totalprice FROM orders WHERE o_orderpriority = '5-LOW'),
+feed AS (SELECT sum(CASE o_orderpriority WHEN '1-URGENT' THEN 2 WHEN '4-NOT SPECIFIED' THEN 0 ELSE 1 END)::BIGINT AS ops,
+                max(CASE o_orderpriority WHEN '1-URGENT' THEN o_orderkey * 2 + 2 WHEN '4-NOT SPECIFIED' THEN 0 ELSE o_orderkey * 2 + 1 END) AS high FROM orders)
+"""
+
+
+@query(_OUTCOMES + """
+SELECT 'first' AS step, 'downloaded' AS status, 0::BIGINT AS ops, 0::BIGINT AS seq, * FROM base UNION ALL
+SELECT 'nothing new', 'unchanged', 0, 0, * FROM base UNION ALL
+SELECT 'feed', 'updated', ops, high, merged.* FROM merged, feed UNION ALL
+SELECT 'feed again', 'unchanged', 0, high, merged.* FROM merged, feed UNION ALL
+SELECT 'expired', 'updated', 0, high, o_orderkey, o_totalprice + 10 FROM base, feed UNION ALL
+SELECT 'forced', 'downloaded', 0, high, o_orderkey, o_totalprice + 20 FROM base, feed
+""")
+def sync_changelog_outcomes(spark, sf):
+    """A changelog table through every outcome of a sync: its rows after each, with what the sync reported."""
+    root = scratch_path(spark, "outcomes")
+    base = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    feed = orders_feed(spark, sf).select(*cdc.NAMES.all, "o_orderkey", "o_totalprice")
+    meta = TableMeta.of({"name": "orders", "cdc_serving_tier": "changelog", "pk_columns": ["o_orderkey"]})
+    dearer = lambda by: base.withColumn("o_totalprice", F.col("o_totalprice") + by)
+    high = cdc.high_water(feed).first()["seq_high"]
+    steps = [("first", base, feed.limit(0), {}), ("nothing new", base, feed.limit(0), {}), ("feed", base, feed, {}),
+             ("feed again", base, feed, {}), ("expired", dearer(10), feed, {"retention_floor": high + 2}), ("forced", dearer(20), feed, {"force": True})]
+    seen = []
+    for step, snapshot, changes, options in steps:
+        done = sync(spark, root, meta, snapshot, changes, bucket_count=4, **options)
+        seen.append(VersionedTable(spark, root).read().select(
+            F.lit(step).alias("step"), F.lit(done.status).alias("status"), F.lit(done.ops_applied or 0).cast("long").alias("ops"),
+            F.lit(done.current_seq).cast("long").alias("seq"), "o_orderkey", "o_totalprice"))
+    return reduce(DataFrame.unionByName, seen)
+
+
+@query("""
+WITH base AS (SELECT o_orderkey, o_totalprice FROM orders)
+SELECT 'first' AS step, 'downloaded' AS status, * FROM base UNION ALL
+SELECT 'same id', 'unchanged', * FROM base UNION ALL
+SELECT 'forced', 'updated', o_orderkey, o_totalprice + 2 FROM base UNION ALL
+SELECT 'no id', 'updated', o_orderkey, o_totalprice + 3 FROM base UNION ALL
+SELECT 'no id again', 'updated', o_orderkey, o_totalprice + 4 FROM base
+""")
+def sync_snapshot_outcomes(spark, sf):
+    """A snapshot table through every outcome; a blank id never counts as unchanged."""
+    root = scratch_path(spark, "outcomes")
+    base, seen = table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), []
+    for by, (step, name, force) in enumerate((("first", "s1", False), ("same id", "s1", False), ("forced", "s1", True), ("no id", "", False),
+                                              ("no id again", "", False))):
+        meta = TableMeta.of({"name": "orders", "current_snapshot_id": name})
+        done = sync(spark, root, meta, base.withColumn("o_totalprice", F.col("o_totalprice") + by), force=force)
+        seen.append(VersionedTable(spark, root).read().select(F.lit(step).alias("step"), F.lit(done.status).alias("status"), "o_orderkey", "o_totalprice"))
+    return reduce(DataFrame.unionByName, seen)
+
+
+@query(_OUTCOMES + """
+SELECT 1::BIGINT AS version, 'downloaded' AS status, 'changelog' AS sync_mode, NULL::BIGINT AS previous_seq, 0::BIGINT AS current_seq, 0::BIGINT AS ops_applied,
+       (SELECT count(*) FROM base) AS rows_after UNION ALL
+SELECT 2, 'updated', 'changelog', 0, high, ops, (SELECT count(*) FROM merged) FROM feed
+""")
+def sync_log_of_orders(spark, sf):
+    """What the log says of a baseline and a merge, next to the rows that were there after each."""
+    root = scratch_path(spark, "logged")
+    base = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    feed = orders_feed(spark, sf).select(*cdc.NAMES.all, "o_orderkey", "o_totalprice")
+    kept, rows = VersionedTable(spark, root), []
+    for changes in (feed.limit(0), feed):
+        sync_changelog(spark, root, changes, base, key=["o_orderkey"], bucket_count=4)
+        commit = kept.commit()
+        rows.append(kept.read(commit).agg(F.count(F.lit(1)).alias("rows_after")).withColumn("version", F.lit(commit.version).cast("long")))
+    return (sync_log(spark, root).select("version", "status", "sync_mode", "previous_seq", "current_seq", "ops_applied")
+            .join(reduce(DataFrame.unionByName, rows), "version"))
+
+
+@query(_ORDERS_MERGED)
+def sync_changelog_polled(spark, sf):
+    """A stream that keeps polling: pages of the feed arrive while it runs, then it is stopped."""
+    root, pages, checkpoint = (scratch_path(spark, f"polled-{p}") for p in ("table", "feed", "checkpoint"))
+    orders, feed = table(spark, sf, "orders"), orders_feed(spark, sf)
+    high = cdc.high_water(feed).first()["seq_high"]
+    sync_changelog(spark, root, feed.limit(0), orders, key=_ORDERS_KEY, bucket_count=4)
+    cdc.since(feed, 0, high // 2).write.parquet(pages)
+    stream = stream_changelog(read_feed_stream(spark, pages, feed.schema), root, checkpoint=checkpoint, every="1s")
+    try:
+        stream.processAllAvailable()
+        cdc.since(feed, high // 2).write.mode("append").parquet(pages)
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return VersionedTable(spark, root).read()

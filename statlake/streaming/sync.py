@@ -47,13 +47,13 @@ def sync_snapshot(
             and last.sync_mode == "snapshot" and last.format == format and table.is_readable(last)):
         return SyncResult("unchanged", table.root, "snapshot", last.snapshot_id, snapshot_id)
     rows = snapshot() if callable(snapshot) else snapshot
-    version = 1 if last is None else last.version + 1
-    write_table(rows, table.data_path(version), format, mode="overwrite")
-    _, count, size = table.written(version, rows.schema, False, format)
+    version, attempt = 1 if last is None else last.version + 1, table.new_attempt()
+    write_table(rows, table.data_path(attempt), format)
+    _, count, size = table.written(attempt, rows.schema, False, format)
     if count == 0 and not allow_empty:
         raise SyncError("the snapshot has no rows; the table is left as it was")
     commit = table.append(Commit(
-        version, "downloaded" if last is None else "updated", "snapshot", rows.schema.json(),
+        version, attempt, "downloaded" if last is None else "updated", "snapshot", rows.schema.json(),
         format=format, snapshot_id=snapshot_id,
         previous_snapshot_id=last.snapshot_id if last else None,
         rows_written=count, bytes_written=size))
@@ -82,7 +82,7 @@ def _aligned(changes: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _write_buckets(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    rows.write.partitionBy(BUCKET).parquet(path)
 
 
 def write_baseline(
@@ -101,13 +101,13 @@ def write_baseline(
 ) -> Commit:
     """Write a full baseline split into buckets and make it current."""
     rows = current_state(baseline, state_filter)
-    version = 1 if last is None else last.version + 1
+    version, attempt = 1 if last is None else last.version + 1, table.new_attempt()
     number = bucket_number(rows.schema, bucket_by, bucket_count)
     # Rebalancing gives each bucket few files and lets AQE split a bucket that is too big.
-    _write_buckets(rows.withColumn(BUCKET, number).hint("rebalance", BUCKET), table.data_path(version))
-    buckets, count, size = table.written(version, rows.schema, True)
+    _write_buckets(rows.withColumn(BUCKET, number).hint("rebalance", BUCKET), table.data_path(attempt))
+    buckets, count, size = table.written(attempt, rows.schema, True)
     return table.append(Commit(
-        version, status, "changelog", rows.schema.json(), snapshot_id=snapshot_id,
+        version, attempt, status, "changelog", rows.schema.json(), snapshot_id=snapshot_id,
         previous_snapshot_id=last.snapshot_id if last else None, previous_seq=previous_seq,
         watermark_seq=watermark_seq, baseline_seq=watermark_seq, ops_applied=0, key=tuple(key), state_filter=state_filter,
         bucket_by=tuple(bucket_by), bucket_count=bucket_count, buckets=buckets,
@@ -175,14 +175,14 @@ def apply_changes(
         kept = kept.hint("rebalance", BUCKET)  # the join spread the buckets over all tasks
     merged = current_state(kept.unionByName(added, allowMissingColumns=True), state_filter)
 
-    version = last.version + 1
-    _write_buckets(merged, table.data_path(version))
+    version, attempt = last.version + 1, table.new_attempt()
+    _write_buckets(merged, table.data_path(attempt))
     schema = merged.drop(BUCKET).schema
-    rewritten, count, size = table.written(version, schema, True)
+    rewritten, count, size = table.written(attempt, schema, True)
     touched = {str(b) for b in facts["buckets"]}
-    untouched = {b: v for b, v in last.buckets.items() if b not in touched}
+    untouched = {b: a for b, a in last.buckets.items() if b not in touched}
     commit = table.append(Commit(
-        version, "updated", "changelog", schema.json(), snapshot_id=last.snapshot_id,
+        version, attempt, "updated", "changelog", schema.json(), snapshot_id=last.snapshot_id,
         previous_snapshot_id=last.snapshot_id, previous_seq=last.watermark_seq,
         watermark_seq=facts["high"], baseline_seq=facts["high"] if batch is None else last.baseline_seq,
         ops_applied=facts["n"], key=key, state_filter=state_filter,

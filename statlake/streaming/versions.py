@@ -1,18 +1,19 @@
-"""A table kept as Parquet version directories and a log of commits.
+"""A table kept as Parquet directories and a log of commits.
 
-``<root>/data/version=N`` holds rows; ``<root>/log`` holds one JSON line per commit,
-appended with Spark's own file commit.  A version counts only once its log row is there,
-so a failed or repeated write leaves the table as it was, and data version and feed
-cursor move together.  One writer per table is assumed.
+``<root>/data/attempt=X`` holds rows; ``<root>/log`` holds one JSON line per commit,
+appended with Spark's own file commit.  Every write has a directory of its own and counts only once its log
+row names it, so a failed, repeated or second write never touches rows that were committed, and data and feed
+cursor move together.  Old directories are left to the store's own retention.  One writer per table is assumed.
 
 A table may be split into hash buckets of its key (or of some of its key columns).  A
-commit then writes only the buckets it touches; the log row says which version holds
+commit then writes only the buckets it touches; the log row says which directory holds
 each bucket.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
@@ -26,7 +27,7 @@ from ..sources.formats import CSV_READ, empty_texts
 BUCKET = "__bucket"
 
 LOG_SCHEMA = (
-    "version long, status string, sync_mode string, format string, snapshot_id string, "
+    "version long, attempt long, status string, sync_mode string, format string, snapshot_id string, "
     "previous_snapshot_id string, previous_seq long, watermark_seq long, baseline_seq long, ops_applied long, "
     "key array<string>, state_filter string, bucket_by array<string>, bucket_count int, "
     "buckets map<string,long>, schema string, rows_written long, bytes_written long, "
@@ -38,6 +39,7 @@ class Commit:
     """One row of a table's log."""
 
     version: int
+    attempt: int  # the directory that was written
     status: str
     sync_mode: str
     schema: str
@@ -80,8 +82,13 @@ class VersionedTable:
         self.spark, self.root = spark, root.rstrip("/")
         self.log_path = f"{self.root}/log"
 
-    def data_path(self, version: int) -> str:
-        return f"{self.root}/data/version={version}"
+    @staticmethod
+    def new_attempt() -> int:
+        """The number of a directory that no other write uses."""
+        return uuid.uuid4().int >> 66
+
+    def data_path(self, attempt: int) -> str:
+        return f"{self.root}/data/attempt={attempt}"
 
     def log(self) -> DataFrame:
         """All commits; empty for a table that was never written."""
@@ -131,12 +138,12 @@ class VersionedTable:
         if commit is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
         if commit.bucket_count is None:
-            return self._loaded(commit, self.data_path(commit.version))
+            return self._loaded(commit, self.data_path(commit.attempt))
         wanted = commit.buckets.items()
         if buckets is not None:
             chosen = {str(b) for b in buckets}
-            wanted = [(b, v) for b, v in wanted if b in chosen]
-        paths = [f"{self.data_path(v)}/{BUCKET}={b}" for b, v in wanted]
+            wanted = [(b, a) for b, a in wanted if b in chosen]
+        paths = [f"{self.data_path(a)}/{BUCKET}={b}" for b, a in wanted]
         if not paths:
             return self.spark.createDataFrame([], commit.struct)
         return self._reader(commit).load(paths)
@@ -167,20 +174,20 @@ class VersionedTable:
 
     def is_readable(self, commit: Commit) -> bool:
         """Whether the files of an unbucketed commit hold as many bytes as were written; reads no data."""
-        return self._listed_bytes(self.data_path(commit.version)) == commit.bytes_written
+        return self._listed_bytes(self.data_path(commit.attempt)) == commit.bytes_written
 
-    def written(self, version: int, schema: T.StructType, bucketed: bool,
+    def written(self, attempt: int, schema: T.StructType, bucketed: bool,
                 format: str = "parquet") -> tuple[dict[str, int], int, int]:
-        """Buckets, rows and bytes that a version directory holds."""
+        """Buckets, rows and bytes that a directory holds."""
         if bucketed:
             schema = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        probe = Commit(version, "", "", schema.json(), format=format)
-        files = self._reader(probe).load(self.data_path(version)).select(
+        probe = Commit(0, attempt, "", "", schema.json(), format=format)
+        files = self._reader(probe).load(self.data_path(attempt)).select(
             (F.col(BUCKET) if bucketed else F.lit(0)).cast("string").alias("bucket"))
         # At most one row per bucket comes back.
         rows = files.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()
-        return ({r["bucket"]: version for r in rows} if bucketed else {},
-                sum(r["n"] for r in rows), self._listed_bytes(self.data_path(version)) or 0)
+        return ({r["bucket"]: attempt for r in rows} if bucketed else {},
+                sum(r["n"] for r in rows), self._listed_bytes(self.data_path(attempt)) or 0)
 
     def append(self, commit: Commit) -> Commit:
         """Make a written version the current one: one small file, visible as a whole or not at all."""
@@ -190,20 +197,3 @@ class VersionedTable:
         line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(values)).alias("value"))
         line.write.mode("append").text(self.log_path)
         return Commit(**values)
-
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete data directories that none of the last ``keep`` commits refers to."""
-        recent = self.log().orderBy(F.col("version").desc()).limit(max(1, keep)).collect()
-        used = {v for r in recent for v in ((r["buckets"] or {}).values() if r["bucket_count"]
-                                            else [r["version"]])}
-        jvm = self.spark.sparkContext._jvm
-        data = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
-        files = data.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        gone = []
-        newest = max((r["version"] for r in recent), default=0)
-        for status in files.listStatus(data):
-            version = int(status.getPath().getName().partition("=")[2])
-            if version not in used and version <= newest:
-                files.delete(status.getPath(), True)
-                gone.append(version)
-        return sorted(gone)

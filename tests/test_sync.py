@@ -55,7 +55,7 @@ def test_blank_snapshot_id_never_counts_as_equal(spark, root):
 def test_missing_files_are_written_again(spark, root):
     sync_snapshot(spark, root, state(spark, (1, "a")), "s1")
     table = VersionedTable(spark, root)
-    gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.data_path(1))
+    gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.data_path(table.commit(1).attempt))
     gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
     assert sync_snapshot(spark, root, state(spark, (1, "a")), "s1").status == "updated"
     assert current(spark, root) == [(1, "a")]
@@ -237,16 +237,18 @@ def test_crash_before_the_log_row_changes_nothing(spark, root, monkeypatch):
     assert current(spark, root) == [(1, "z"), (2, "b")]
 
 
-def test_vacuum_keeps_what_recent_commits_use(spark, root):
-    base = state(spark, *[(i, "v") for i in range(100)])
-    sync_changelog(spark, root, changes(spark).limit(0), base, key=["id"], bucket_count=4)
-    feed = changes(spark)
-    for n in range(1, 4):
-        feed = feed.unionByName(changes(spark, (n, "U", 7, f"w{n}")))
-        sync_changelog(spark, root, feed, base)
+def test_a_second_writer_leaves_committed_rows_alone(spark, root, monkeypatch):
+    """Two writers that start from one commit write different directories, whichever commits last."""
+    df = spark.range(10)
+    sync_snapshot(spark, root, df, "s1")
     table = VersionedTable(spark, root)
-    assert table.vacuum(keep=1) == [2, 3]
-    assert len(current(spark, root)) == 100 and (7, "w3") in current(spark, root)
+    first = table.commit()
+    monkeypatch.setattr(VersionedTable, "commit", lambda self, version=None: first)
+    sync_snapshot(spark, root, spark.range(20), "s2")
+    sync_snapshot(spark, root, spark.range(30), "s3")
+    monkeypatch.undo()
+    assert [r["version"] for r in table.log().orderBy("version").collect()] == [1, 2, 2]
+    assert table.read(first).count() == 10 and table.read(table.commit()).count() == 30
 
 
 # ------------------------------------------------------------------ streaming
