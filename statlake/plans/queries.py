@@ -1061,6 +1061,14 @@ def sink_csv(spark, sf):
     return readers.read_table(spark, path, "csv", schema=texts.schema)
 
 
+@query(_AWKWARD)
+def sink_csv_split(spark, sf):
+    """The same texts in one file, whose splits are read side by side."""
+    texts = _awkward_texts(spark, sf)
+    path = writers.write_table(texts.coalesce(1), scratch_path(spark, "texts-csv"), "csv")
+    return readers.read_table(spark, path, "csv", schema=texts.schema, split=True)
+
+
 @query(_AWKWARD)
 def sync_snapshot_csv_gz(spark, sf):
     """A table kept as gzip CSV holds what the snapshot held."""

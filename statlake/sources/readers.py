@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..model import ChangeColumns
 from ..operators.cdc import since as rows_since
 from ..operators.filters import from_source, without_geometry
+from .csvlines import read_split_csv
 from .formats import CSV_READ, empty_texts
 
 FORMATS = ("parquet", "geoparquet", "csv", "csv_gz", "json", "orc")
@@ -27,13 +28,17 @@ def read_table(
     geometry: bool = True,
     source: str | None = None,
     spread: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """A whole table.  GeoParquet keeps its geometry as WKB bytes.
 
     ``geometry=False`` leaves geometry columns out of the scan.  Text formats should be
     given a ``schema``; without one a CSV is read twice to find its types.  A CSV file is read by
-    one task, since its values may hold line breaks: ``spread=True`` rebalances its rows right after.
+    one task, since its values may hold line breaks: ``spread=True`` rebalances its rows right after, and ``split=True``, which needs
+    the ``schema``, reads a plain CSV file by many tasks at the price of a shuffle.
     """
+    if split and (format != "csv" or schema is None):
+        raise ValueError("only plain CSV with a schema can be split")
     if format not in FORMATS:
         raise ValueError(f"unknown format {format!r}; expected one of {', '.join(FORMATS)}")
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -43,6 +48,8 @@ def read_table(
         df = reader.orc(path)
     elif format == "json":
         df = reader.json(path)
+    elif split:
+        df = read_split_csv(spark, path, schema)
     else:
         df = empty_texts(reader.options(**CSV_READ).csv(path, inferSchema=schema is None, enforceSchema=False))
     if not geometry:
