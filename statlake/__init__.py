@@ -13,6 +13,7 @@ from .operators.filters import (
 )
 from .operators.geo import envelope, within_bbox, write_by_place
 from .operators.history import rows_at
+from .operators.hotkeys import hot_keys
 from .operators.limits import capped, first_n, most_recent, preview, sort_by_date
 from .operators.quality import duplicate_keys, same_rows, signed_difference, source_mismatch
 from .operators.reshape import to_long, to_wide

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.lookups import blank_to_null, truncated
 from ..model import ChangeColumns, Layout, TableMeta
 from ..operators import catalog as cat
-from ..operators import cdc, digesttree, geo, history, limits, quality, reshape, search, textindex
+from ..operators import cdc, digesttree, geo, history, hotkeys, limits, quality, reshape, search, textindex
 from ..operators.filters import (
     current_state, date_range, dimension_contains, from_source, without_geometry,
 )
@@ -1006,6 +1006,22 @@ def bbox_by_place(spark, sf):
 
 # --------------------------------------------------------------------------- checks
 
+@query("""
+SELECT source, lang, count(*) AS copies FROM documents GROUP BY 1, 2 HAVING count(*) >= 0.02 * (SELECT count(*) FROM documents)
+""")
+def hot_keys_documents(spark, sf):
+    """Sources and languages that hold a fiftieth of all documents or more."""
+    return hotkeys.hot_keys(table(spark, sf, "documents"), ["source", "lang"], 0.02).drop("share")
+
+
+@query("""
+SELECT o_custkey, count(*) AS copies FROM orders GROUP BY 1 HAVING count(*) >= 0.0005 * (SELECT count(*) FROM orders)
+""")
+def hot_keys_orders(spark, sf):
+    """Customers with at least one in two thousand orders."""
+    return hotkeys.hot_keys(table(spark, sf, "orders"), ["o_custkey"], 0.0005).drop("share")
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
 """)
