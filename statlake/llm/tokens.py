@@ -19,7 +19,7 @@ from itertools import chain
 
 import numpy as np
 
-KEPT_WORDS = 400_000  # per half
+KEPT_WORDS = 250_000  # per half, and as many pieces
 
 _SPACE = re.compile(r"\s")
 
