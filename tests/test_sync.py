@@ -113,7 +113,7 @@ def test_only_touched_buckets_are_rewritten(spark, root):
     sync_changelog(spark, root, changes(spark).limit(0), base, key=["id"], bucket_count=32)
     sync_changelog(spark, root, changes(spark, (1, "U", 7, "w")), base)
     commit = VersionedTable(spark, root).commit()
-    assert sorted(commit.buckets.values()).count(2) == 1 and commit.rows_written < 40
+    assert list(commit.buckets.values()).count(commit.attempt) == 1 and commit.rows_written < 40
     assert len(current(spark, root)) == 200 and (7, "w") in current(spark, root)
 
 
