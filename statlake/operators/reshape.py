@@ -109,12 +109,14 @@ def to_wide(
     id_columns: Sequence[str] | None = None,
     fill: Any = None,
     names: Sequence[Any] | None = None,
+    tasks: int | None = None,
 ) -> tuple[DataFrame, Layout]:
     """One row per id with a column per measure.
 
     Two rows for one cell are an error at run time, never silently aggregated.  ``names``
     gives the measures and saves the job that finds them; a measure outside it is an
-    error too.  ``fill`` replaces missing measures.  Returns rows and their new layout.
+    error too.  ``fill`` replaces missing measures.  Beyond ``DIRECT_MEASURES`` measures rows are dealt by id to
+    ``tasks`` tasks, each of which holds its wide rows (the session's shuffle partitions, if not given).  Returns rows and their new layout.
     """
     layout = _require(df, layout, "long")
     values = _present(layout.value_columns, df)
@@ -138,8 +140,8 @@ def to_wide(
     if clash:
         raise LayoutError(f"measures would give clashing column names: {clash}")
 
-    cells = _cells_direct if len(names) <= DIRECT_MEASURES else _cells_two_step
-    wide = cells(df, ids, names_from, values_from, names, labels, given)
+    parts = (df, ids, names_from, values_from, names, labels, given)
+    wide = _cells_direct(*parts) if len(names) <= DIRECT_MEASURES else _cells_two_step(*parts, tasks)
     if fill is not None:
         kind = df.schema[values_from].dataType
         wide = wide.select(*[F.col(quoted(c)) for c in ids],
@@ -181,10 +183,14 @@ def _cells_direct(df, ids, names_from, values_from, names, labels, given):
         *[F.col(quoted(c)) for c in ids], *[F.col(f"__v{i}").alias(label) for i, label in enumerate(labels)])
 
 
-def _cells_two_step(df, ids, names_from, values_from, names, labels, given):
-    """Cells first, then Spark's pivot of unique cells: cost per row does not grow with names."""
+def _cells_two_step(df, ids, names_from, values_from, names, labels, given, tasks=None):
+    """Cells first, then Spark's pivot of unique cells: cost per row does not grow with names.
+
+    Rows are dealt by id while they are narrow: neither aggregation shuffles, and wide rows are only made where they stay.
+    """
     name, value = F.col(quoted(names_from)), F.col(quoted(values_from))
-    cells = (df.groupBy(*[F.col(quoted(c)) for c in ids], name)
+    dealt = df.repartition(*([tasks] if tasks else []), *[F.col(quoted(c)) for c in ids]) if ids else df
+    cells = (dealt.groupBy(*[F.col(quoted(c)) for c in ids], name)
              .agg(F.first(value).alias("__v"), F.count(F.lit(1)).alias("__n")))
     sound = F.when(F.col("__n") > 1, _duplicate_error())
     if given:

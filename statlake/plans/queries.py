@@ -25,6 +25,7 @@ from ..streaming.sync import sync, sync_changelog, sync_log, sync_snapshot
 from ..streaming.versions import VersionedTable
 from .lake import Lake
 from .lineage import cut_lineage, scratch_path
+from .sizing import tasks_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -682,10 +683,13 @@ _MANY = [x + 0.5 for x in range(80)]
     + " FROM lineitem GROUP BY 1")
 def lineitem_to_wide_many(spark, sf):
     """Eighty measures named by fractional numbers: the columns are named as with few."""
-    cells = (table(spark, sf, "lineitem").groupBy("l_orderkey", ((F.col("l_partkey") % 80) + 0.5).cast("double").alias("m"))
+    lines = table(spark, sf, "lineitem")
+    tasks = tasks_for(lines)
+    cells = (lines.select("l_orderkey", "l_partkey", "l_extendedprice").repartition(tasks, "l_orderkey")
+             .groupBy("l_orderkey", ((F.col("l_partkey") % 80) + 0.5).cast("double").alias("m"))
              .agg(F.sum("l_extendedprice").alias("v")))
     layout = Layout("long", ("l_orderkey",), ("v",), measure_name_column="m")
-    return reshape.to_wide(cells, layout, fill=0.0, names=_MANY)[0]
+    return reshape.to_wide(cells, layout, fill=0.0, names=_MANY, tasks=tasks)[0]
 
 
 @query("SELECT user_id, event_type, count(*) AS copies FROM events GROUP BY 1, 2 HAVING count(*) > 1")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Well under the 8 GB hard limit and small enough to be built on every executor.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+TASK_ROWS = 250_000
 
 _FIXED_BYTES = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
@@ -42,6 +43,11 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row_bytes(df.schema)).alias("b")).first()["b"] or 0
 
 
+def tasks_for(df: DataFrame, rows: int = TASK_ROWS) -> int:
+    """Shuffle partitions that keep a task's part of ``df`` near ``rows``.  Counts it, for which a stored table's footers are enough."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """What the planner expects ``df`` to take: file sizes, carried through the plan.  Runs nothing."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

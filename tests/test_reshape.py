@@ -130,3 +130,29 @@ def test_refusals(spark, rates):
     for attempt in refused:
         with pytest.raises(LayoutError):
             attempt()
+
+
+def test_many_measures_are_not_widened_before_the_shuffle(spark):
+    df = spark.range(0, 4000, 1, 4).select((F.col("id") % 700).alias("id"), (F.col("id") % 80).alias("m"), F.lit(1.0).alias("v")).distinct()
+    layout = Layout("long", ("id",), ("v",), measure_name_column="m")
+    wide = to_wide(df, layout, names=list(range(80)), tasks=9)[0]
+    assert wide.count() == 700
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    above, found, _ = plan.partition("Exchange")
+    assert found and ", 9), REPARTITION_BY_NUM" in plan and "pivotfirst" in above
+    assert "pivotfirst" not in plan[len(above):]
+    assert {tuple(r) for r in wide.collect()} == {tuple(r) for r in to_wide(df, layout, names=list(range(80)))[0].collect()}
+
+
+def test_wide_many_uses_as_many_tasks_as_the_rows_ask_for(spark, tmp_path, monkeypatch):
+    from statlake.plans import queries, sizing
+    lines = spark.range(0, 9000, 1, 3).select((F.col("id") % 4000).alias("l_orderkey"), ((F.col("id") * 7) % 500).alias("l_partkey"),
+                                              (F.col("id") % 31 + 0.5).alias("l_extendedprice"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(queries, "tasks_for", lambda df: sizing.tasks_for(df, 1000))
+    wide = queries.lineitem_to_wide_many(spark, str(tmp_path))
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count(", 9), REPARTITION_BY_NUM") == 1  # the second finds its rows dealt already
+    got = {r["l_orderkey"]: sum(r[c] for c in wide.columns[1:]) for r in wide.collect()}
+    want = {r["l_orderkey"]: r["s"] for r in lines.groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("s")).collect()}
+    assert got == want
