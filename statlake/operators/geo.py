@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.wkt import bounding_box
-from ..plans.sizing import estimated_bytes, quoted
+from ..plans.sizing import measured_bytes, quoted
 
-FILE_BYTES = 128 << 20
+FILE_BYTES = 128 << 20  # of rows as they are sorted, before they are encoded and compressed
 CURVE_BITS = 16  # per axis
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
@@ -58,15 +58,15 @@ def write_by_place(df: DataFrame, path: str, wkt: str = "geometry_wkt", bounds:
     """Write a table with the boxes of its geometry, in the order of their centres on a curve.
 
     Files and row groups then cover small areas, and their statistics let ``within_bbox`` on the table that is read back skip most of them.
-    Rows without a box come first.  Without ``bounds`` the extent is found by one aggregation, which parses every geometry once more.
+    Rows without a box come first.  One aggregation measures the rows.  Without ``bounds`` another finds the extent, which parses every geometry once more.
     """
     boxed = df if all(b in df.columns for b in BOX) else envelope(df, wkt)
     x, y = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
     if bounds is None:
         bounds = tuple(boxed.agg(F.min(x), F.min(y), F.max(x), F.max(y)).first())
     code = F.lit(None).cast("long") if None in bounds else curve_code(x, y, bounds)
-    size = estimated_bytes(df)
-    files = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 if size > 1 << 60 else -(-size // FILE_BYTES))
+    # The planner knows nothing of how long texts are, and a task sorts all rows of its file.
+    files = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-measured_bytes(df) // FILE_BYTES))
     # A place with a large share of the rows is split by a hash of the row's box.
     order = [F.col("__code").asc_nulls_first(), F.xxhash64(*BOX, quoted(wkt) if wkt in boxed.columns else "xmin")]
     boxed.withColumn("__code", code).repartitionByRange(files, *order).sortWithinPartitions(*order).drop("__code").write.parquet(path)

@@ -89,3 +89,14 @@ def test_a_table_without_boxes_by_place(spark, tmp_path):
     assert within_bbox(spark.read.parquet(str(tmp_path / "none")), 0, 0, 1, 1).count() == 0
     write_by_place(df.limit(0), str(tmp_path / "empty"), bounds=(0, 0, 1, 1))
     assert spark.read.parquet(str(tmp_path / "empty")).count() == 0
+
+
+def test_files_follow_the_length_of_the_texts(spark, tmp_path, monkeypatch):
+    from statlake import write_by_place
+    from statlake.operators import geo
+    monkeypatch.setattr(geo, "FILE_BYTES", 100_000)
+    line = F.concat(F.lit("LINESTRING ("), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), lambda n: F.concat_ws(" ", n + F.col("id"), n)), ", "), F.lit(")"))
+    df = spark.range(0, 1000, 1, 2).select("id", line.alias("geometry_wkt"))  # some 1.5 MB, of which the planner expects 28 bytes a row
+    write_by_place(df, str(tmp_path / "long"), bounds=(0, 0, 1200, 200))
+    stored = spark.read.parquet(str(tmp_path / "long"))
+    assert stored.count() == 1000 and stored.select(F.input_file_name()).distinct().count() > 10
