@@ -15,13 +15,14 @@ import json
 import os
 import re
 import unicodedata
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 
 KEPT_WORDS = 250_000  # per half, and as many pieces
 
 _SPACE = re.compile(r"\s")
+_ASCII_SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f"
 
 
 def _keeps_words(normaliser: dict | None) -> bool:
@@ -123,6 +124,7 @@ class WordBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.spec = spec = json.loads(self.tokenizer.to_str())
         self.joins = _keeps_words(spec.get("normalizer"))
+        self.lowers = '"Lowercase"' in json.dumps(spec.get("normalizer"))
         pattern, self.special = word_pattern(spec), special_tokens(spec)
         self.pattern = None
         if pattern and self.special is not None:
@@ -140,12 +142,23 @@ class WordBpe:
         return np.concatenate(rows) if rows else np.empty(0, np.int32), np.array([len(r) for r in rows], np.int64)
 
     def _normalised(self, words: list[str]) -> list[str]:
-        """Each word as the normaliser leaves it; only words without white space are joined, as any other may add or lose blanks."""
+        """Each word as the normaliser leaves it.  Of the steps that keep words, only the one to lower case reaches ASCII without white space."""
         if not self.tokenizer.normalizer:
             return words
-        alone = self.tokenizer.normalizer.normalize_str
         if not self.joins:
-            return list(map(alone, words))
+            return list(map(self.tokenizer.normalizer.normalize_str, words))
+        plain = list(map(str.isascii, words))
+        together = " ".join(compress(words, plain))
+        if any(space in together for space in _ASCII_SPACES):
+            plain = [ascii and not _SPACE.search(w) for w, ascii in zip(words, plain)]
+            together = " ".join(compress(words, plain))
+        lowered = iter((together.lower() if self.lowers else together).split(" "))
+        others = iter(self._normalised_joined([w for w, is_plain in zip(words, plain) if not is_plain]))
+        return [next(lowered) if is_plain else next(others) for is_plain in plain]
+
+    def _normalised_joined(self, words: list[str]) -> list[str]:
+        """Only words without white space are joined, as any other may add or lose blanks."""
+        alone = self.tokenizer.normalizer.normalize_str
         plain = [w for w in words if not _SPACE.search(w)] if _SPACE.search("".join(words)) else words
         split = alone(" ".join(plain)).split(" ") if plain else []
         if len(split) != len(plain):  # the normaliser moved a blank: one word at a time
@@ -185,12 +198,18 @@ class WordBpe:
 
     def _learn(self, words: list) -> None:
         """Take over what the old half knows of words new to the young one, and encode the rest."""
-        places = np.fromiter(map(lambda w: self.old.numbers.get(w, -1), words), np.int64, len(words))
+        places = np.fromiter(map(self.old.numbers.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(places < 0).tolist()
-        split = self._normalised([w if isinstance(w, str) else "" for w in map(words.__getitem__, unknown)])
+        new = [words[at] for at in unknown]
+        marks = {at for at, w in zip(unknown, new) if not isinstance(w, str)} if self.special else set()
+        split = self._normalised([w if isinstance(w, str) else "" for w in new] if marks else new)
         together = " ".join(split)
-        newer = _newer_letters().search if _newer_letters().search(together) else lambda word: None
-        alone = {at for at, w in zip(unknown, split) if " " in w or not isinstance(words[at], str) or newer(w)}
+        newer = _newer_letters().search  # finds nothing in ASCII
+        alone = marks
+        if newer(" ".join(w for w in split if not w.isascii())):
+            alone |= {at for at, w in zip(unknown, split) if not w.isascii() and newer(w)}
+        if together.count(" ") >= len(split):
+            alone |= {at for at, w in zip(unknown, split) if " " in w}
         if alone:
             together = " ".join(w for at, w in zip(unknown, split) if at not in alone)
         ids, sizes = (self._pieces_of(self.pattern_or_blank.findall(together)) if len(alone) < len(unknown)
@@ -201,7 +220,9 @@ class WordBpe:
         order = np.zeros(len(words), np.int64)
         order[places >= 0] = np.arange(int((places >= 0).sum()))
         rows = joined.rows - len(sizes)
-        for at, word in zip(unknown, split):
+        if not alone:
+            order[unknown] = rows + np.arange(len(unknown))
+        for at, word in zip(unknown, split) if alone else ():
             if at in alone:  # a special token, or a word with white space or newer letters inside
                 own = [words[at]] if isinstance(words[at], int) else self._pieces_of(self._cut(word))[0]
                 order[at] = joined.rows

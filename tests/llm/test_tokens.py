@@ -158,3 +158,17 @@ def test_byte_bpe_of_stitched_chunks(spark, documents, chunk, overlap):
 
 def test_byte_bpe_of_nothing(spark, documents):
     assert bytebpe.encode_texts(documents([]), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_only_words_beyond_ascii_or_with_white_space_reach_the_normaliser():
+    import public_tokenizers
+    from statlake.llm.tokens import WordBpe
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, given = WordBpe(path), []
+    joined = encoder._normalised_joined
+    encoder._normalised_joined = lambda words: given.extend(words) or joined(words)
+    text = "The QUICK fox's tab\tbed naïve STRASSE Straße İI Kelvin café a\x85b \x1cx\x1f <|endoftext|> end"
+    ids, counts = encoder.encode([text, "", "plain Words"])
+    want = [e.ids for e in encoder.tokenizer.encode_batch([text, "", "plain Words"], add_special_tokens=False)]
+    assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+    assert sorted(given) == sorted(["tab\tbed", "naïve", "Straße", "İI", "Kelvin", "café", "a\x85b", "\x1cx\x1f"])
