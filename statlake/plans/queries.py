@@ -25,7 +25,7 @@ from ..streaming.sync import sync, sync_changelog, sync_log, sync_snapshot
 from ..streaming.versions import VersionedTable
 from .lake import Lake
 from .lineage import cut_lineage, scratch_path
-from .sizing import tasks_for
+from .sizing import measured_bytes, tasks_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -1081,11 +1081,15 @@ def sink_csv(spark, sf):
     return readers.read_table(spark, path, "csv", schema=texts.schema)
 
 
+_CSV_FILE_BYTES = 512 << 20  # one task writes a file; that is several splits for those who read it
+
+
 @query(_AWKWARD)
 def sink_csv_split(spark, sf):
-    """The same texts in one file, whose splits are read side by side."""
+    """The same texts in one file per ``_CSV_FILE_BYTES``, whose splits are read side by side."""
     texts = _awkward_texts(spark, sf)
-    path = writers.write_table(texts.coalesce(1), scratch_path(spark, "texts-csv"), "csv")
+    files = max(1, -(-measured_bytes(texts) // _CSV_FILE_BYTES))
+    path = writers.write_table(texts.coalesce(files), scratch_path(spark, "texts-csv"), "csv")
     return readers.read_table(spark, path, "csv", schema=texts.schema, split=True)
 
 

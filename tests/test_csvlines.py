@@ -39,3 +39,24 @@ def test_header_empty_table_and_refusals(spark, tmp_path):
     assert read_table(spark, none, "csv", schema=df.schema, split=True).count() == 0
     with pytest.raises(ValueError, match="schema"):
         read_table(spark, path, "csv", split=True)
+
+
+def test_the_query_writes_a_file_for_so_many_bytes(spark, tmp_path, rows, monkeypatch):
+    from pyspark.sql import functions as F
+    from statlake.plans import queries
+    docs = spark.range(0, 400, 1, 8).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), "id").alias("text"), F.col("id").cast("int").alias("n_chars"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    written = []
+    write = queries.writers.write_table
+    monkeypatch.setattr(queries.writers, "write_table", lambda df, path, *more: written.append(write(df, path, *more)) or path)
+    got = rows(queries.sink_csv_split(spark, str(tmp_path)))
+    monkeypatch.setattr(queries, "_CSV_FILE_BYTES", 8000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert rows(queries.sink_csv_split(spark, str(tmp_path))) == got == rows(queries._awkward_texts(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    files = [spark.read.text(p).select(F.input_file_name()).distinct().count() for p in written]
+    assert files[0] == 1 and 2 <= files[1] <= 4
