@@ -1,22 +1,28 @@
 """Interpolated modified Kneser-Ney n-gram model, counted in Spark and scored from mapped files.
 
-Words become 64-bit hashes, an n-gram's hash mixes those of its first and its last n-1 words.  Tasks
-count the n-grams of their own texts first and send sorted, compressed runs of (context, suffix, count) on;
-these are merged part by part, highest order first.  A merged part is written as a sorted hash array
-with its counts, and passes on what the order below needs: how many different words precede
+Words are counted first, by 64-bit hashes, and numbered part by part in descending order of their counts, so that
+frequent words have small numbers.  Tasks count the n-grams of their own texts and send sorted, compressed runs of
+numbers and counts on; these are merged part by part, highest order first.  A merged part is written as a file with
+its counts, and passes on what the order below needs: how many different words precede
 each suffix (its Kneser-Ney count), and for each context its total and how many continuations were seen once, twice
-or more.  Parts of the highest order are dealt out by context and suffix alike, so a context or a
+or more.  Only n-grams at the start of a text have no word before them; of lower orders they alone are counted
+as they stand.  Parts of the highest order are dealt out by context and suffix alike, so a context or a
 suffix that holds a large share of all n-grams is spread over many.  Nothing is pruned.
 
-Workers map the arrays into memory and look up the sorted n-grams of many texts at once.  An unseen word gets its
+A file holds the hashes of its n-grams in order: the first bits choose a bucket of about ten, 40 more are stored.  Of the
+counts each different tuple is stored once, and each n-gram has its number in one to four bytes.
+
+Workers map the files into memory and look up the sorted n-grams of many texts at once.  An unseen word gets its
 share of the uniform distribution over the known words and one unknown word, so all probabilities sum to one.
 
 Defined results: a null text counts as empty, that is one end token; texts with equal words score equally; with nothing to
-learn from every token is the unknown word with probability one; an empty table gives no rows.
+learn from every token is the unknown word with probability one; an empty table gives no rows; texts that differ when they
+are read again are an error.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import struct
 
@@ -35,7 +41,7 @@ TOKENS_AT_ONCE = 4_000_000  # counted together inside a task
 SCORED_AT_ONCE = 400_000
 KEPT_WORDS = 300_000
 
-_BIG = 255  # counts from here on are kept apart in the highest order
+_MISSING = np.uint64(0xD1B54A32D192ED03)  # the number of every word that was not learned, of many bits as it is hashed with others
 _ROW = "n int, part int, kind string, columns array<binary>, note string"
 
 
@@ -68,7 +74,7 @@ def sequence(text: str | None) -> np.ndarray:
 
 
 def mix(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Hash of an n-gram from those of its first and its last n-1 words."""
+    """Hash of an n-gram from that of its first n-1 words and its last word."""
     with np.errstate(over="ignore"):
         x = first * np.uint64(0x9E3779B97F4A7C15) + second
         x ^= x >> np.uint64(29)
@@ -96,14 +102,6 @@ def _unpacked(data: bytes, ascending: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=np.uint64) if ascending else values
 
 
-def _merged(ctx: np.ndarray, suf: np.ndarray, counts: np.ndarray):
-    """Different (context, suffix) pairs by context, then suffix, and their counts."""
-    order = np.lexsort((suf, ctx))
-    ctx, suf, counts = ctx[order], suf[order], counts[order]
-    first = np.flatnonzero(np.r_[True, (ctx[1:] != ctx[:-1]) | (suf[1:] != suf[:-1])][:len(ctx)])
-    return ctx[first], suf[first], np.add.reduceat(counts, first) if len(first) else counts
-
-
 def _grouped(keys: np.ndarray, *values: np.ndarray):
     """Different keys in order, and the sums of values."""
     order = np.argsort(keys, kind="stable")
@@ -114,6 +112,7 @@ def _grouped(keys: np.ndarray, *values: np.ndarray):
 
 def _dealt(part: np.ndarray):
     """``(part, rows)`` for every part, rows in their order."""
+    part = part.astype(np.min_scalar_type(int(part.max())) if len(part) else np.uint8)  # 16 bits are sorted by radix
     order = np.argsort(part, kind="stable")
     ends = np.flatnonzero(np.r_[part[order][1:] != part[order][:-1], True][:len(part)]) + 1
     first = 0
@@ -122,6 +121,63 @@ def _dealt(part: np.ndarray):
         first = end
 
 
+def _packs(words: list[np.ndarray], bits: int) -> list[np.ndarray]:
+    """Columns of words put together into as few columns as hold them."""
+    out = []
+    for first in range(0, len(words), 64 // bits):
+        code = words[first].astype(np.uint64)
+        for more in words[first + 1:first + 64 // bits]:
+            code = code << np.uint64(bits) | more
+        out.append(code)
+    return out
+
+
+def _unpacks(packs: list[np.ndarray], n: int, bits: int) -> list[np.ndarray]:
+    """The ``n`` columns of words that were put together."""
+    per, mask, out = 64 // bits, np.uint64((1 << bits) - 1), []
+    for at, code in enumerate(packs):
+        held = min(per, n - at * per)
+        out += [code >> np.uint64(bits * (held - 1 - k)) & mask for k in range(held)]
+    return out
+
+
+def _different(words: list[np.ndarray], bits: int, values=()):
+    """Different n-grams in order, and the sums of each of the values; without values, how often each n-gram is there."""
+    packs = _packs(words, bits)
+    order = None
+    if len(packs) == 1 and not values:
+        packs = [np.sort(packs[0])]
+    else:
+        order = np.argsort(packs[0]) if len(packs) == 1 else np.lexsort(packs[::-1])
+        packs = [p[order] for p in packs]
+    new = np.zeros(len(packs[0]), bool)
+    new[:1] = True
+    for p in packs:
+        new[1:] |= p[1:] != p[:-1]
+    first = np.flatnonzero(new)
+    sums = [np.add.reduceat(v[order], first) for v in values] if values else [np.diff(np.append(first, len(new)))]
+    return _unpacks([p[first] for p in packs], len(words), bits), sums
+
+
+def _gram_columns(words: list[np.ndarray], bits: int) -> list[bytes]:
+    """N-grams in ascending order: their contexts, and the last word of each."""
+    return [_packed(c, not at) for at, c in enumerate([*_packs(words[:-1], bits), words[-1]])]
+
+
+def _grams_of(columns: list[bytes], n: int, bits: int) -> tuple[list[np.ndarray], list[bytes]]:
+    """The words of a run of n-grams, and the columns after them."""
+    used = -(-(n - 1) // (64 // bits)) + 1
+    *packs, last = (_unpacked(c, not at) for at, c in enumerate(columns[:used]))
+    return [*_unpacks(packs, n - 1, bits), last], columns[used:]
+
+
+def _hash(words: list[np.ndarray]) -> np.ndarray:
+    out = words[0]
+    for more in words[1:]:
+        out = mix(out, more)
+    return out
+
+
 def _row(n: int, part: int, kind: str, columns: list[bytes], note: str = "") -> dict:
     return {"n": n, "part": part, "kind": kind, "columns": columns, "note": note}
 
@@ -132,121 +188,243 @@ def _table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=schema)
 
 
-# ------------------------------------------------------------------ counting
+# ------------------------------------------------------------------ files
 
-def ngrams(sequences: list[np.ndarray], order: int):
-    """``n, context, suffix`` of all n-grams of every order; of order 1 the word alone, without the start."""
-    flat = np.concatenate(sequences)
-    lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
-    ends = np.cumsum(lengths)
-    left = np.repeat(ends, lengths) - np.arange(len(flat))  # words from here to the end of the text
-    start = np.zeros(len(flat), bool)
-    start[ends - lengths] = True
-    yield 1, None, flat[~start]
-    hashes = flat
-    for n in range(2, order + 1):
-        whole = np.flatnonzero(left >= n)
-        yield n, hashes[whole], hashes[whole + 1]
-        hashes = np.append(mix(hashes[:-1], hashes[1:]), np.uint64(0))
+_HEAD = struct.Struct("<5Q")  # rows, bits that choose a bucket (0: no hashes), columns and number of tuples, bytes of a tuple's number
+_files: dict[str, tuple] = {}
 
 
-def _top_part(ctx: np.ndarray, suf: np.ndarray, parts: int) -> np.ndarray:
-    return (ctx % np.uint64(parts)).astype(np.int64) * SUFFIX_SPLIT + (suf % np.uint64(SUFFIX_SPLIT)).astype(np.int64)
+def _coded(values: list[np.ndarray]):
+    """For each row the number of its tuple of values, and the different tuples."""
+    code = values[0].astype(np.uint64)
+    for v in values[1:]:
+        if len(v) and (int(code.max()) + 1) * (int(v.max()) + 1) >> 63:
+            code = np.unique(code, return_inverse=True)[1].astype(np.uint64)
+        code = code * np.uint64(int(v.max(initial=0)) + 1) + v.astype(np.uint64)
+    _, first, codes = np.unique(code, return_index=True, return_inverse=True)
+    return codes, [v[first] for v in values]
+
+
+def _write_counts(uri: str, hashes: np.ndarray | None, values: list[np.ndarray]) -> None:
+    """Write tuples of values by hash, or in the order they are in."""
+    bits, found = 0, []
+    if hashes is not None:
+        bits = max(1, (len(hashes) // 16).bit_length())
+        order = np.argsort(hashes)
+        hashes, values = hashes[order], [v[order] for v in values]
+        starts = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+        rest = hashes << np.uint64(bits)
+        found = [starts.astype("<u4"), (rest >> np.uint64(32)).astype("<u4"), (rest >> np.uint64(24) & np.uint64(255)).astype("u1")]
+    codes, tuples = _coded(values)
+    width = np.min_scalar_type(max(len(tuples[0]) - 1, 0)).itemsize
+    write_file(uri, [_HEAD.pack(len(codes), bits, len(tuples), len(tuples[0]), width), *(c.tobytes() for c in found),
+                     *(t.astype("<u8").tobytes() for t in tuples), codes.astype(f"<u{width}").tobytes()])
+
+
+def _arrays(uri: str, kinds) -> tuple:
+    """The mapped arrays of one file, kept open by the worker; ``kinds`` gives the place of the first and the kind and length of each."""
+    if uri not in _files:
+        data = mapped(uri)
+        place, plan = kinds(data)
+        found = []
+        for kind, count in plan:
+            found.append(np.frombuffer(data, kind, count, place))
+            place += found[-1].nbytes
+        _files[uri] = tuple(found)
+    return _files[uri]
 
 
-def _counter(order: int, parts: int):
-    def rows_of(sequences):
-        for n, ctx, suf in ngrams(sequences, order):
-            if n == 1 and order == 2:
-                continue  # word counts are the totals of their contexts
-            ctx, suf, counts = _merged(np.zeros(len(suf), np.uint64) if ctx is None else ctx, suf, np.ones(len(suf), np.int64))
-            part = (_top_part(ctx, suf, parts) if n == order else
-                    ((suf if n == 1 else mix(ctx, suf)) % np.uint64(parts)).astype(np.int64))
-            for to, at in _dealt(part):
-                yield _row(n, to, "A", [_packed(ctx[at], True), _packed(suf[at]), _packed(counts[at])])
+def _count_arrays(data):
+    rows, bits, columns, tuples, width = _HEAD.unpack(data[:_HEAD.size])
+    keys = [("<u4", (1 << bits) + 1), ("<u4", rows), ("u1", rows)] if bits else []
+    return _HEAD.size, [*keys, *[("<u8", tuples)] * columns, (f"<u{width}", rows)]
+
+
+def _find(hashes: np.ndarray, starts: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Row of each hash in a file; the number of rows for one that is not there."""
+    bits = (len(starts) - 1).bit_length() - 1
+    bucket = hashes >> np.uint64(64 - bits)
+    rest = hashes << np.uint64(bits)
+    want, more = (rest >> np.uint64(32)).astype(np.uint32), (rest >> np.uint64(24) & np.uint64(255)).astype(np.uint8)
+    first, end = starts[bucket].astype(np.int64), starts[bucket + np.uint64(1)].astype(np.int64)
+    at, to = first, end
+    for _ in range(int((end - first).max(initial=0)).bit_length()):
+        middle = (at + to) >> 1
+        less = low[np.minimum(middle, len(low) - 1)] < want
+        open_ = at < to
+        at, to = np.where(open_ & less, middle + 1, at), np.where(open_ & ~less, middle, to)
+    out = np.full(len(hashes), len(low))
+    live = np.flatnonzero(at < end)
+    while len(live):  # once, unless several in a bucket agree in 32 bits
+        live = live[low[at[live]] == want[live]]
+        same = high[at[live]] == more[live]
+        out[live[same]] = at[live[same]]
+        live = live[~same]
+        at[live] += 1
+        live = live[at[live] < end[live]]
+    return out
 
-    def count(batches):
+
+# ------------------------------------------------------------------ words
+
+def _in_runs(rows_of):
+    """A function over batches of texts that gives the rows of some millions of tokens at a time."""
+    def run(batches):
         held, size = [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 held.append(sequence(text))
                 size += len(held[-1])
                 if size >= TOKENS_AT_ONCE:
-                    for row in rows_of(held):
-                        yield from _table([row]).to_batches()
+                    flat, lengths = np.concatenate(held), np.fromiter(map(len, held), np.int64, len(held))
                     held, size = [], 0
+                    for row in rows_of(flat, lengths):
+                        yield from _table([row]).to_batches()
         if held:
-            for row in rows_of(held):
+            for row in rows_of(np.concatenate(held), np.fromiter(map(len, held), np.int64, len(held))):
                 yield from _table([row]).to_batches()
 
-    return count
+    return run
+
+
+def _word_counter(parts: int):
+    def rows_of(flat, lengths):
+        words, counts = np.unique(flat, return_counts=True)
+        for to, at in _dealt(words % np.uint64(parts)):
+            yield _row(0, to, "A", [_packed(words[at], True), _packed(counts[at])])
+
+    return _in_runs(rows_of)
+
+
+def _settle_words(folder: str):
+    def settle(table: pa.Table) -> pa.Table:
+        runs = [[_unpacked(c, ascending=not at) for at, c in enumerate(columns)] for columns in table.column("columns").to_pylist()]
+        words, (counts,) = _grouped(*(np.concatenate(c) for c in zip(*runs)))
+        order = np.lexsort((words, -counts.astype(np.int64)))
+        ranks = np.empty(len(words), "<u4")
+        ranks[order] = np.arange(len(words))
+        uri, kind = new_file(folder, ".words"), np.min_scalar_type(int(counts.max()))
+        write_file(uri, [struct.pack("<QQ", len(words), kind.itemsize), words.astype("<u8").tobytes(), ranks.tobytes(),
+                         counts[order].astype(f"<u{kind.itemsize}").tobytes()])
+        note = {"part": table.column("part")[0].as_py(), "uri": uri, "words": len(words),
+                "tokens": int(counts[words != np.uint64(_special(b"\r"))].sum())}
+        return _table([_row(0, note["part"], "M", [], json.dumps(note))])
+
+    return settle
+
 
+def _word_arrays(data):
+    rows, width = struct.unpack("<QQ", data[:16])
+    return 16, [("<u8", rows), ("<u4", rows), (f"<u{width}", rows)]
 
-def _contexts(ctx: np.ndarray, counts: np.ndarray):
-    """Different contexts; total, and continuations seen once, twice, more often."""
-    return _grouped(ctx, counts, (counts == 1).astype(np.int64), (counts == 2).astype(np.int64), (counts > 2).astype(np.int64))
 
+class Words:
+    """Numbers and counts of all words, in mapped files."""
 
-def _settle(level: int, order: int, parts: int, folder: str):
+    def __init__(self, parts: int, notes: list[dict]):
+        self.parts = parts
+        self.uris = {x["part"]: x["uri"] for x in notes}
+        self.sizes = {x["part"]: x["words"] for x in notes}
+        self.tokens = sum(x["tokens"] for x in notes)
+        self.bits = max([1, *(((x["words"] - 1) * parts + x["part"]).bit_length() for x in notes)])
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number and count of each word; a number of its own and 0 for words that were not learned."""
+        numbers, counts = np.full(len(hashes), _MISSING), np.zeros(len(hashes), np.int64)
+        for to, at in _dealt(hashes % np.uint64(self.parts)):
+            if to in self.uris:
+                words, ranks, raw = _arrays(self.uris[to], _word_arrays)
+                rows = np.minimum(np.searchsorted(words, hashes[at]), len(words) - 1)
+                hit = words[rows] == hashes[at]
+                rank = ranks[rows[hit]]
+                numbers[at[hit]] = rank.astype(np.uint64) * np.uint64(self.parts) + np.uint64(to)
+                counts[at[hit]] = raw[rank]
+        return numbers, counts
+
+
+# ------------------------------------------------------------------ counting
+
+def _top_part(ctx: np.ndarray, suf: np.ndarray, parts: int) -> np.ndarray:
+    return (ctx % np.uint64(parts)).astype(np.int64) * SUFFIX_SPLIT + (suf % np.uint64(SUFFIX_SPLIT)).astype(np.int64)
+
+
+def _part(n: int, order: int, words: list[np.ndarray], parts: int) -> np.ndarray:
+    return _top_part(_hash(words[:-1]), _hash(words[1:]), parts) if n == order else _hash(words) % np.uint64(parts)
+
+
+def _gram_rows(n: int, order: int, parts: int, bits: int, kind: str, words: list[np.ndarray], values: list[np.ndarray]):
+    """Rows that bring sorted n-grams and their values to their parts."""
+    for to, at in _dealt(_part(n, order, words, parts)):
+        yield _row(n, to, kind, [*_gram_columns([w[at] for w in words], bits), *(_packed(v[at]) for v in values)])
+
+
+def _counter(order: int, learned: Words):
+    def rows_of(flat, lengths):
+        names, back = np.unique(flat, return_inverse=True)
+        numbers, _ = learned.find(names)
+        if (numbers == _MISSING).any():
+            raise ValueError("the texts differ from those whose words were counted")
+        numbers = numbers[back]
+        ends = np.cumsum(lengths)
+        for n in range(2, order + 1):
+            if n == order:
+                first = np.flatnonzero(np.repeat(ends, lengths) - np.arange(len(flat)) >= n)
+            else:  # any other has a word before it and is counted by these
+                first = (ends - lengths)[lengths >= n]
+            words, counts = _different([numbers[first + k] for k in range(n)], learned.bits)
+            yield from _gram_rows(n, order, learned.parts, learned.bits, "A", words, counts)
+
+    return _in_runs(rows_of)
+
+
+def _settle(level: int, order: int, learned: Words, folder: str):
     """Merge the parts of one order; rows of lower orders and of finished files pass through."""
+    parts, bits, sizes = learned.parts, learned.bits, learned.sizes
+
     def settle(table: pa.Table) -> pa.Table:
         n = table.column("n")[0].as_py()
         if n != level:
             return table
         part = table.column("part")[0].as_py()
-        runs: dict[str, list] = {"A": [], "C": [], "X": []}
-        for kind, columns in zip(table.column("kind").to_pylist(), table.column("columns").to_pylist()):
-            runs[kind].append([_unpacked(c, ascending=not at) for at, c in enumerate(columns)])
-        joined = {kind: [np.concatenate(c) for c in zip(*found)] for kind, found in runs.items() if found}
-        out = []
-        empty = np.empty(0, np.uint64)
-        ctx, suf, raw = joined.get("A", (empty, empty, empty))
-        ctx, suf, raw = _merged(ctx, suf, raw.astype(np.int64))
-        keys = suf if n == 1 else mix(ctx, suf)
-        counts = raw
-        seen, (before,) = _grouped(joined["C"][0], joined["C"][1].astype(np.int64)) if "C" in joined else (empty, [empty.astype(np.int64)])
-        held, stats = _grouped(joined["X"][0], *(c.astype(np.int64) for c in joined["X"][1:])) if "X" in joined else (empty, [empty.astype(np.int64)] * 4)
-        if n < order:
-            if n == 1:  # words, the start as a context, the end as a word
-                names = np.unique(np.concatenate([keys, seen, held]))
-                word_counts = _spread(names, keys, raw)
-                ctx, suf, keys, raw = np.zeros(len(names), np.uint64), names, names, word_counts
-            counts = _spread(keys, seen, before)
-            if n > 1:
-                counts = np.where(counts > 0, counts, raw)  # nothing precedes a text's start
-        sort = np.argsort(keys, kind="stable")
+        runs = [(kind == "X", *_grams_of(columns, n, bits))
+                for kind, columns in zip(table.column("kind").to_pylist(), table.column("columns").to_pylist())]
+
+        def column(k: int) -> np.ndarray:
+            """Counts (0), or what the n-grams are as contexts; one of them is held at a time."""
+            found = [_unpacked(columns[max(k - 1, 0)]) if is_context == (k > 0) else np.zeros(len(words[-1]), np.uint64)
+                     for is_context, words, columns in runs]
+            return np.concatenate(found).astype(np.int64)
+
+        words, values = _different([np.concatenate(w) for w in zip(*(words for _, words, _ in runs))], bits,
+                                   _Columns(column, 1 if n == order else 5))
+        if n == 1:  # every word of the part, by its rank; the start is only a context
+            rank, (words, found) = (words[0] // np.uint64(parts)).astype(np.int64), (words, values)
+            values = [np.zeros(sizes[part], np.int64) for _ in found]
+            for to, v in zip(values, found):
+                to[rank] = v
+        counts = values[0]
         uri = new_file(folder, f".{n}")
+        _write_counts(uri, _hash(words) if n > 1 else None, values)
         note = {"n": n, "part": part, "uri": uri, "t": [int((counts == k).sum()) for k in (1, 2, 3, 4)],
                 "entries": int((counts > 0).sum()), "sum": int(counts.sum())}
-        if n == order:
-            big = np.flatnonzero(counts[sort] >= _BIG)
-            write_file(uri, [struct.pack("<QQ", len(keys), len(big)), keys[sort].astype("<u8").tobytes(),
-                             big.astype("<u8").tobytes(), counts[sort][big].astype("<u8").tobytes(),
-                             np.minimum(counts[sort], _BIG).astype(np.uint8).tobytes()])
-        else:
-            total, once, twice, more = (_spread(keys, held, s)[sort] for s in stats)
-            write_file(uri, [struct.pack("<QQ", len(keys), 0), keys[sort].astype("<u8").tobytes(), total.astype("<u8").tobytes(),
-                             (raw[sort] if n == 1 and order > 2 else np.empty(0)).astype("<u8").tobytes(),
-                             *(c.astype("<u4").tobytes() for c in (counts[sort], once, twice, more))])
-        out.append(_row(0, part % parts, "M", [], json.dumps(note)))
+        out = [_row(0, part % parts, "M", [], json.dumps(note))]
         if n > 1:
-            contexts, stats = _contexts(ctx, counts)
-            for to, at in _dealt((contexts % np.uint64(parts)).astype(np.int64)):
-                out.append(_row(n - 1, to, "X", [_packed(contexts[at], True), *(_packed(s[at]) for s in stats)]))
-            suffixes, (before,) = _grouped(suf, np.ones(len(suf), np.int64))
-            for to, at in _dealt((suffixes % np.uint64(parts)).astype(np.int64)):
-                out.append(_row(n - 1, to, "C", [_packed(suffixes[at], True), _packed(before[at])]))
+            lower = functools.partial(_gram_rows, n - 1, order, parts, bits)
+            out += lower("X", *_different(words[:-1], bits, [counts, *(x.astype(np.int64) for x in (counts == 1, counts == 2, counts > 2))]))
+            out += lower("C", *_different(words[1:], bits))
         return _table(out)
 
     return settle
 
 
-def _spread(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Value of each key, 0 for one that is not known (``known`` ascending)."""
-    if not len(known):
-        return np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, values[at], 0)
+class _Columns:
+    """Columns made when they are asked for."""
+
+    def __init__(self, make, count: int):
+        self.make, self.count = make, count
+
+    def __iter__(self):
+        return map(self.make, range(self.count))
 
 
 def train(texts: DataFrame, text: str = "text", order: int = ORDER, part_bytes: int = PART_BYTES) -> "Model":
@@ -256,39 +434,26 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER, part_bytes:
     size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(LEAST_PARTS, -(-size // part_bytes))
     folder = scratch_path(texts.sparkSession, "ngrams")
-    rows = texts.select(text).mapInArrow(_counter(order, parts), _ROW)
-    for level in range(order, 0, -1):
-        rows = rows.groupBy("n", "part").applyInArrow(_settle(level, order, parts, folder), _ROW)
-    # A row of some hundred bytes per file, that is per million n-grams.
-    notes = [json.loads(r["note"]) for r in cut_lineage(rows.where(F.col("kind") == "M").select("note"), "model").collect()]
-    return Model(order, parts, notes)
 
+    def notes(rows: DataFrame) -> list[dict]:
+        # A row of some hundred bytes per file, that is per million n-grams.
+        return [json.loads(r["note"]) for r in cut_lineage(rows.where(F.col("kind") == "M").select("note"), "model").collect()]
 
-# ------------------------------------------------------------------ scoring
-
-_files: dict[str, tuple] = {}
-
+    words = texts.select(text).mapInArrow(_word_counter(parts), _ROW)
+    learned = Words(parts, notes(words.groupBy("part").applyInArrow(_settle_words(folder), _ROW)))
+    rows = texts.select(text).mapInArrow(_counter(order, learned), _ROW)
+    for level in range(order, 0, -1):
+        rows = rows.groupBy("n", "part").applyInArrow(_settle(level, order, learned, folder), _ROW)
+    return Model(order, learned, notes(rows))
 
-def _arrays(uri: str, n: int, order: int) -> tuple:
-    """The mapped arrays of one file, kept open by the worker."""
-    if uri not in _files:
-        data = mapped(uri)
-        rows, big = struct.unpack("<QQ", data[:16])
-        place, found = 16, []
-        plan = ([("<u8", rows), ("<u8", big), ("<u8", big), ("u1", rows)] if n == order else
-                [("<u8", rows), ("<u8", rows), ("<u8", rows if n == 1 and order > 2 else 0)] + [("<u4", rows)] * 4)
-        for kind, count in plan:
-            found.append(np.frombuffer(data, kind, count, place))
-            place += found[-1].nbytes
-        _files[uri] = tuple(found)
-    return _files[uri]
 
+# ------------------------------------------------------------------ scoring
 
 class Model:
     """Where the files are, and the few numbers that hold for all n-grams."""
 
-    def __init__(self, order: int, parts: int, notes: list[dict]):
-        self.order, self.parts = order, parts
+    def __init__(self, order: int, learned: Words, notes: list[dict]):
+        self.order, self.learned = order, learned
         self.uris = {(x["n"], x["part"]): x["uri"] for x in notes}
         self.discounts = {n: discounts([sum(x["t"][k] for x in notes if x["n"] == n) for k in range(4)]) for n in range(1, order + 1)}
         words = [x for x in notes if x["n"] == 1]
@@ -296,50 +461,33 @@ class Model:
         self.sum = sum(x["sum"] for x in words)
         once, twice = (sum(x["t"][k] for x in words) for k in (0, 1))
         self.spare = float(np.dot(self.discounts[1][1:], [once, twice, self.vocabulary - once - twice]) / self.sum) if self.sum else 1.0
-        self.tokens, self.texts = None, None
 
-    def _found(self, n: int, part: np.ndarray, keys: np.ndarray):
-        """For each part with keys: their rows here, their rows in the file (or the number of rows), the file."""
+    def _values(self, n: int, part: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Count and, below the highest order, total and continuations seen once, twice, more of n-grams; 0 for those not learned."""
+        out = np.zeros((1 if n == self.order else 5, len(hashes)), np.int64)
         for to, at in _dealt(part):
             if (n, to) in self.uris:
-                arrays = _arrays(self.uris[n, to], n, self.order)
-                if len(arrays[0]):
-                    rows = np.minimum(np.searchsorted(arrays[0], keys[at]), len(arrays[0]) - 1)
-                    hit = arrays[0][rows] == keys[at]
-                    yield at[hit], rows[hit], arrays
-
-    def counts(self, ctx: np.ndarray, suf: np.ndarray) -> np.ndarray:
-        """Counts of n-grams of the highest order."""
-        keys, out = mix(ctx, suf), np.zeros(len(ctx), np.int64)
-        for at, rows, (_, big, large, small) in self._found(self.order, _top_part(ctx, suf, self.parts), keys):
-            out[at] = small[rows]
-            over = at[small[rows] == _BIG]
-            if len(over):
-                out[over] = large[np.searchsorted(big, rows[small[rows] == _BIG].astype(np.uint64))]
+                *keys_and_values, codes = _arrays(self.uris[n, to], _count_arrays)
+                values = keys_and_values[-len(out):]
+                if n == 1:
+                    at = at[hashes[at] != _MISSING]
+                    code = codes[(hashes[at] // np.uint64(self.learned.parts)).astype(np.int64)]
+                else:
+                    rows = _find(hashes[at], *keys_and_values[:3])
+                    at, rows = at[rows < len(codes)], rows[rows < len(codes)]
+                    code = codes[rows]
+                for row, value in zip(out, values):
+                    row[at] = value[code]
         return out
 
-    def lower(self, n: int, keys: np.ndarray) -> np.ndarray:
-        """Count, total, and continuations seen once, twice, more often; for order 1 the word's own number last."""
-        out = np.zeros((6, len(keys)), np.int64)
-        for at, rows, (_, total, raw, *rest) in self._found(n, (keys % np.uint64(self.parts)).astype(np.int64), keys):
-            for row, column in enumerate((rest[0], total, *rest[1:])):
-                out[row, at] = column[rows]
-            out[5, at] = raw[rows] if len(raw) else total[rows]
-        return out
+    def counts(self, *words: np.ndarray) -> np.ndarray:
+        """Counts of n-grams of the highest order, given the hashes of their words."""
+        numbers = [self.learned.find(w)[0] for w in words]
+        return self._values(self.order, _part(self.order, self.order, numbers, self.learned.parts), _hash(numbers))[0]
 
     def totals(self) -> tuple[int, int]:
-        """Tokens and different tokens that were learned from; read once from the mapped files."""
-        if self.tokens is None:
-            start = np.array([_special(b"\r")], np.uint64)
-            self.texts = int(self.lower(1, start)[1, 0])
-            tokens = 0
-            for (n, _), uri in self.uris.items():
-                if n == 1:
-                    _, total, raw, *_ = _arrays(uri, 1, self.order)
-                    tokens += int((raw if len(raw) else total).sum())
-            # With word counts taken from contexts, the start has the number of texts, which is the end's.
-            self.tokens = tokens
-        return self.tokens, self.vocabulary
+        """Tokens and different tokens that were learned from."""
+        return self.learned.tokens, self.vocabulary
 
     def score(self, sequences: list[np.ndarray]):
         """For each text: tokens, known tokens, base score, score (both log10)."""
@@ -351,32 +499,33 @@ class Model:
         text = np.repeat(np.arange(len(sequences)), lengths)[tokens]
         all_tokens, vocabulary = self.totals()
 
-        words, back = np.unique(flat[tokens], return_inverse=True)
-        found = self.lower(1, words)
-        counts, own = found[0], found[5]
-        if self.order == 2:
-            own = np.where(words == np.uint64(_special(b"\n")), self.texts, own)
-        p = (np.maximum(counts - self.discounts[1][np.minimum(counts, 3)], 0) / max(self.sum, 1)
-             + self.spare / (vocabulary + 1))[back]
-        own = own[back]
+        names, back = np.unique(flat, return_inverse=True)
+        numbers, own = self.learned.find(names)
+        counts, *stats = self._values(1, numbers % np.uint64(self.learned.parts), numbers)
+        p = ((np.maximum(counts - self.discounts[1][np.minimum(counts, 3)], 0) / max(self.sum, 1)
+              + self.spare / (vocabulary + 1))[back])[tokens]
+        own = own[back][tokens]
         base = np.log10((own + 1) / (all_tokens + vocabulary + 1))
-        hashes = flat
+        stats = np.stack(stats)[:, back]  # of the n-gram that ends at each place, as a context
+        numbers = hashes = numbers[back]
         for n in range(2, self.order + 1):
             whole = np.flatnonzero(place[tokens] >= n - 1)
-            first = tokens[whole] - (n - 1)
-            ctx, suf = hashes[first], hashes[first + 1]
-            contexts, of = np.unique(ctx, return_inverse=True)
-            stats = self.lower(n - 1, contexts)
-            _, index, pair = np.unique(mix(ctx, suf), return_index=True, return_inverse=True)
-            counts = (self.counts(ctx[index], suf[index]) if n == self.order else self.lower(n, mix(ctx, suf)[index])[0])[pair]
-            total = stats[1][of]
+            last = tokens[whole]
+            ctx, suf = hashes[last - (n - 1)], hashes[last - (n - 2)]
+            grams, index, pair = np.unique(mix(ctx, numbers[last]), return_index=True, return_inverse=True)
+            part = (_top_part(ctx[index], suf[index], self.learned.parts) if n == self.order else grams % np.uint64(self.learned.parts))
+            values = self._values(n, part, grams)
+            counts, (total, *continued) = values[0][pair], stats[:, last - 1]
             seen = total > 0
             discount = self.discounts[n]
-            back_off = np.tensordot(discount[1:], stats[2:5], 1)[of]
+            back_off = np.tensordot(discount[1:], continued, 1)
             divisor = np.where(seen, total, 1)
             higher = (np.maximum(counts - discount[np.minimum(counts, 3)], 0) + back_off * p[whole]) / divisor
             p[whole] = np.where(seen, higher, p[whole])
-            hashes = np.append(mix(hashes[:-1], hashes[1:]), np.uint64(0))
+            if n < self.order:
+                stats = np.zeros((4, len(flat)), np.int64)
+                stats[:, last] = values[1:, pair]
+                hashes = np.append(mix(hashes[:len(hashes) - (n - 1)], numbers[n - 1:]), np.zeros(n - 1, np.uint64))
         sums = [np.bincount(text, weights=w, minlength=len(sequences)) for w in ((own > 0).astype(float), base, np.log10(p))]
         return lengths - 1, sums[0].astype(np.int64), sums[1], sums[2]
 

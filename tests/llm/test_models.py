@@ -1,6 +1,7 @@
 """Language model, language id, toxicity and shards against plain versions; whole queries on small tables."""
 
 import math
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from llm_rows import LONG, ROWS
 from statlake.llm import langid, lm, queries, sharding, toxicity
-from statlake.llm.common import fold, held_out
+from statlake.llm.common import fold, held_out, local_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -110,6 +111,15 @@ def test_counts_of_many_occurrences(spark, documents):
     assert model.counts(*pair).tolist() == [700]
 
 
+def test_a_stored_n_gram_takes_few_bytes(documents):
+    drawn = np.random.default_rng(5).integers(0, 3000, (200, 150))
+    model = lm.train(documents([(i, " ".join(f"w{x}" for x in row), None) for i, row in enumerate(drawn.tolist())]), order=3)
+    lines = [("<s>", *row, "</s>") for row in drawn.tolist()]
+    grams = {n: {line[i:i + n] for line in lines for i in range(len(line) - n + 1)} for n in (2, 3)}
+    for n, most in ((2, 10), (3, 8)):
+        assert sum(os.path.getsize(local_path(uri)) for (m, _), uri in model.uris.items() if m == n) <= most * len(grams[n])
+
+
 # ------------------------------------------------------------------ language id
 
 def plain_grams(text):
