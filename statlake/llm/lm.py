@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..plans.lineage import cut_lineage, scratch_path
 from .common import mapped, new_file, write_file
+from .packing import batches_of
 
 ORDER = 2
 PART_BYTES = 16 << 20  # training text per part of the lower orders
@@ -39,23 +40,21 @@ SUFFIX_SPLIT = 4  # parts of the highest order for each of these
 LEAST_PARTS = 16
 TOKENS_AT_ONCE = 4_000_000  # counted together inside a task
 SCORED_AT_ONCE = 400_000
-KEPT_WORDS = 300_000
+LONG_WORD = 256  # bytes; longer ones are hashed one by one
 
 _MISSING = np.uint64(0xD1B54A32D192ED03)  # the number of every word that was not learned, of many bits as it is hashed with others
+_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _ROW = "n int, part int, kind string, columns array<binary>, note string"
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
+def mix(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hash of an n-gram from that of its first n-1 words and its last word."""
+    with np.errstate(over="ignore"):
+        x = first * np.uint64(0x9E3779B97F4A7C15) + second
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ x >> np.uint64(32)
 
 
 def _special(name: bytes) -> int:
@@ -64,22 +63,43 @@ def _special(name: bytes) -> int:
     return xxhash.xxh64_intdigest(name)  # white space, which no word holds
 
 
-def sequence(text: str | None) -> np.ndarray:
-    """Hashes of start, words and end.  Words are cut at ASCII white space, A-Z in lower case."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    out = np.empty(len(words) + 2, np.uint64)
-    out[0], out[-1] = _special(b"\r"), _special(b"\n")
-    out[1:-1] = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    return out
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of each word of bytes in lower case that end in white space: its length and its bytes, eight at a time."""
+    space = _IS_SPACE[np.frombuffer(data, np.uint8)]
+    places = np.flatnonzero(~space & np.r_[True, space[:-1]])
+    sizes = np.flatnonzero(space & np.r_[False, ~space[:-1]]) - places
+    eights = np.ndarray(len(data), "<u8", data + bytes(8), strides=(1,))
+    out, live, used = sizes.astype(np.uint64), np.flatnonzero(sizes <= LONG_WORD), 0
+    while len(live):
+        left = sizes[live] - used
+        out[live] = mix(out[live], eights[places[live] + used] & _FIRST_BYTES[np.minimum(left, 8)])
+        live, used = live[left > 8], used + 8
+    for at in np.flatnonzero(sizes > LONG_WORD).tolist():
+        out[at] = _special(data[places[at]:places[at] + sizes[at]])
+    return out, places
 
 
-def mix(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Hash of an n-gram from that of its first n-1 words and its last word."""
-    with np.errstate(over="ignore"):
-        x = first * np.uint64(0x9E3779B97F4A7C15) + second
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        return x ^ x >> np.uint64(32)
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        return int(_word_hashes(word + b"\n")[0][0])
+
+
+_hashes = _Hashes()
+
+
+def sequences(texts: list[str | None]):
+    """Hashes of start, words and end of each text.  Words are cut at ASCII white space, A-Z in lower case."""
+    texts = [t or "" for t in texts]
+    for first, last in batches_of(texts):
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts[first:last]]
+        words, places = _word_hashes((b"\n".join(raw) + b"\n").lower())
+        before = np.searchsorted(places, np.cumsum([len(x) + 1 for x in raw]))
+        lengths = np.diff(before, prepend=0) + 2
+        ends = np.cumsum(lengths)
+        out, is_word = np.empty(int(ends[-1]), np.uint64), np.ones(int(ends[-1]), bool)
+        is_word[ends - 1] = is_word[ends - lengths] = False
+        out[ends - lengths], out[ends - 1], out[is_word] = _special(b"\r"), _special(b"\n"), words
+        yield from np.split(out, ends[:-1])
 
 
 # ------------------------------------------------------------------ runs of numbers
@@ -272,9 +292,9 @@ def _in_runs(rows_of):
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(sequence(text))
-                size += len(held[-1])
+            for found in sequences(batch.column(0).to_pylist()):
+                held.append(found)
+                size += len(found)
                 if size >= TOKENS_AT_ONCE:
                     flat, lengths = np.concatenate(held), np.fromiter(map(len, held), np.int64, len(held))
                     held, size = [], 0
@@ -518,7 +538,7 @@ class Model:
             counts, (total, *continued) = values[0][pair], stats[:, last - 1]
             seen = total > 0
             discount = self.discounts[n]
-            back_off = np.tensordot(discount[1:], continued, 1)
+            back_off = sum(d * c for d, c in zip(discount[1:], continued))  # a library's product would start threads
             divisor = np.where(seen, total, 1)
             higher = (np.maximum(counts - discount[np.minimum(counts, 3)], 0) + back_off * p[whole]) / divisor
             p[whole] = np.where(seen, higher, p[whole])
@@ -549,14 +569,14 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def score(batches):
         for batch in batches:
-            sequences = [sequence(t) for t in batch.column(place).to_pylist()]
+            hashed = list(sequences(batch.column(place).to_pylist()))
             at = 0
-            while at < len(sequences):
+            while at < len(hashed):
                 end, size = at, 0
-                while end < len(sequences) and (end == at or size + len(sequences[end]) <= SCORED_AT_ONCE):
-                    size += len(sequences[end])
+                while end < len(hashed) and (end == at or size + len(hashed[end]) <= SCORED_AT_ONCE):
+                    size += len(hashed[end])
                     end += 1
-                found = model.score(sequences[at:end])
+                found = model.score(hashed[at:end])
                 learned = np.full(end - at, model.totals()[0])
                 columns = [found[0], found[1], learned, found[2], found[3]]
                 yield pa.RecordBatch.from_arrays([*batch.slice(at, end - at).columns, *map(pa.array, columns)], names=schema.names)

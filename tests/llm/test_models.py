@@ -111,6 +111,18 @@ def test_counts_of_many_occurrences(spark, documents):
     assert model.counts(*pair).tolist() == [700]
 
 
+def test_words_are_hashed_as_they_are_cut():
+    texts = ["a \tB\x0bb\x0c\x1c \r\n", None, "", " ", "\0 \0\0 a\0 a", "abcdefgh abcdefghi ABCDEFGHI abcdefgh\0", "é É \u00a0 x\u2003y",
+             "y" * 256 + " " + "y" * 257 + " " + "Y" * 257, "the", "\ud800 z"]
+    names = {}
+    for text, found in zip(texts, lm.sequences(texts), strict=True):
+        line = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        assert len(found) == len(line) + 2
+        assert [lm._hashes[w] for w in line] == found[1:-1].tolist()
+        names.update(zip(found[1:-1].tolist(), line))
+    assert len(names) == len(set(names.values())) == len({w for t in texts for w in (t or "").encode("utf-8", "surrogatepass").lower().split()})
+
+
 def test_a_stored_n_gram_takes_few_bytes(documents):
     drawn = np.random.default_rng(5).integers(0, 3000, (200, 150))
     model = lm.train(documents([(i, " ".join(f"w{x}" for x in row), None) for i, row in enumerate(drawn.tolist())]), order=3)
