@@ -32,6 +32,7 @@ from .packing import encoded
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
 FILE_BYTES = 64 << 20  # of the table, as the planner expects it, per file at most
+KEPT_WORDS = 450_000  # per half: nothing else here takes memory beside the encoder
 MOST_TASKS = 10_000  # each reads several files beyond that
 ENTRY = struct.Struct("<QI4I")  # place in the file, ids, compressed bytes of each plane
 FOOTER = struct.Struct("<QQQ")  # place of the index, blocks, place of the document table
@@ -105,7 +106,7 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "
             yield MAGIC
             for batch in batches:
                 texts, counts = texts_of(batch.column(1)), []
-                for _, ids in encoded(texts, path, end_id):
+                for _, ids in encoded(texts, path, end_id, KEPT_WORDS):
                     counts.append(len(ids))
                     yield from writer.add(ids)
                 totals[0] += len(texts)

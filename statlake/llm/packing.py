@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..plans.lineage import cut_lineage
 from .common import texts_of
-from .tokens import word_bpe
+from .tokens import KEPT_WORDS, word_bpe
 
 CAPACITY = 4096
 # Pieces of a group: some hundred sequences, of which only the last few can stay part-filled.
@@ -43,9 +43,9 @@ def batches_of(texts: list[str], most: int = TEXTS_AT_ONCE):
         yield first, len(texts)
 
 
-def encoded(texts: list[str], path: str, end_id: int):
+def encoded(texts: list[str], path: str, end_id: int, kept: int = KEPT_WORDS):
     """``(index, ids with the end id)`` of each text, as little-endian unsigned 32-bit integers."""
-    encoder = word_bpe(path)
+    encoder = word_bpe(path, kept)
     for first, last in batches_of(texts):
         # A very long text alone is encoded part by part.
         ids, counts = encoder.encode_long(texts[first], TEXTS_AT_ONCE) if last == first + 1 else encoder.encode(texts[first:last])

@@ -171,8 +171,11 @@ class WordBpe:
     def piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different pieces in a row, and how many each has."""
         letters = "\n".join(pieces).encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters).split("\n")
-        rows = [[t.id for t in tokens] for tokens in map(self.tokenizer.model.tokenize, letters)]
-        return np.fromiter(chain.from_iterable(rows), np.int32), np.fromiter(map(len, rows), np.int64, len(rows))
+        ids, sizes = [], []
+        for tokens in map(self.tokenizer.model.tokenize, letters):  # no list of each is kept: many would set off the garbage collector
+            ids += [t.id for t in tokens]
+            sizes.append(len(tokens))
+        return np.array(ids, np.int32), np.array(sizes, np.int64)
 
     def _cut(self, word: str) -> list[str]:
         """The pieces of a word; the library is asked where its own tables decide."""
@@ -283,8 +286,8 @@ def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 _workers: dict = {}
 
 
-def word_bpe(path: str) -> WordBpe:
-    """One encoder per worker process and file."""
-    if path not in _workers:
-        _workers[path] = WordBpe(path)
-    return _workers[path]
+def word_bpe(path: str, kept: int = KEPT_WORDS) -> WordBpe:
+    """One encoder per worker process, file and number of kept words."""
+    if (path, kept) not in _workers:
+        _workers[path, kept] = WordBpe(path, kept)
+    return _workers[path, kept]

@@ -172,3 +172,20 @@ def test_only_words_beyond_ascii_or_with_white_space_reach_the_normaliser():
     want = [e.ids for e in encoder.tokenizer.encode_batch([text, "", "plain Words"], add_special_tokens=False)]
     assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
     assert sorted(given) == sorted(["tab\tbed", "naïve", "Straße", "İI", "Kelvin", "café", "a\x85b", "\x1cx\x1f"])
+
+
+def test_pieces_leave_nothing_to_the_garbage_collector():
+    import gc
+
+    encoder, held = WordBpe(WORDS), []
+    pieces = [f"piece{x}" for x in range(20_000)]
+    tokenize, gc_was_on = encoder.tokenizer.model.tokenize, gc.isenabled()
+    gc.collect()
+    gc.callbacks.append(lambda phase, info: held.append(phase))
+    try:
+        ids, sizes = encoder.piece_ids(pieces)
+    finally:
+        gc.callbacks.pop()
+    assert gc_was_on and len(held) <= 4
+    want = [[t.id for t in tokenize(p)] for p in pieces]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
